@@ -70,9 +70,22 @@ def next_event(events: DataFrame, seconds: int = CHUNK_SECONDS) -> DataFrame:
     )
 
 
-def attach_end_time(plays: DataFrame, instants: DataFrame) -> DataFrame:
+def _same_partitions(
+    plays: DataFrame, side: DataFrame, keys: list[str], seconds: int
+) -> tuple[DataFrame, list[str]]:
+    """If the plays carry their chunk, join on it too: it follows from the time, so the result is
+    the same, and plays partitioned by (user, chunk) need no shuffle of their own."""
+    if CHUNK not in plays.columns:
+        return side, keys
+    return with_chunk(side, "ts", seconds), [*keys, CHUNK]
+
+
+def attach_end_time(
+    plays: DataFrame, instants: DataFrame, seconds: int = CHUNK_SECONDS
+) -> DataFrame:
     """plain equality, so a play with a missing id survives without an end."""
-    joined = plays.join(instants, ["userId", "sessionId", "ts"], "left")
+    side, keys = _same_partitions(plays, instants, ["userId", "sessionId", "ts"], seconds)
+    joined = plays.join(side, keys, "left")
     item = F.col("itemInSession")
     return joined.select(
         *plays.columns, F.when(item.isNotNull(), _ends_at(item)).alias("play_ended_at")
@@ -149,7 +162,7 @@ def attach_user(
         return plays.join(versions, covers, "left").drop("user_id", "start_time", "end_time")
 
     starts = with_chunk(_periods(users), "ts", seconds)
-    listens = with_chunk(plays, "ts", seconds)
+    listens = plays if CHUNK in plays.columns else with_chunk(plays, "ts", seconds)
     merged = listens.withColumn("_is_play", F.lit(True)).unionByName(
         starts.withColumn("_is_play", F.lit(False)), allowMissingColumns=True
     )
@@ -205,7 +218,9 @@ def attach_location(plays: DataFrame, locations: DataFrame) -> DataFrame:
     return plays.join(side, _null_safe(pairs), "left").drop(*pairs.values())
 
 
-def attach_session(plays: DataFrame, sessions: DataFrame) -> DataFrame:
+def attach_session(
+    plays: DataFrame, sessions: DataFrame, seconds: int = CHUNK_SECONDS
+) -> DataFrame:
     """the session event of the same user, session, time and position."""
     side = lookup(
         sessions, "session_key", "user_id", "session_id", "session_started_time", "session_number"
@@ -216,7 +231,8 @@ def attach_session(plays: DataFrame, sessions: DataFrame) -> DataFrame:
         F.col("session_started_time").alias("ts"),
         F.col("session_number").alias("itemInSession"),
     )
-    return plays.join(side, EVENT_ID, "left")
+    side, keys = _same_partitions(plays, side, EVENT_ID, seconds)
+    return plays.join(side, keys, "left")
 
 
 def shape_fact(plays: DataFrame) -> DataFrame:
@@ -251,13 +267,15 @@ def int_fact_song_play(
     disjoint: bool | None = None,
     seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """every lookup drops the columns it used, so later shuffles carry narrower rows."""
-    plays = listen.select(*PLAY_COLUMNS)
+    """the three lookups by user and time come first and share one partitioning of the plays
+    (see ``session.SETTINGS``); each lookup then drops the columns it used."""
+    plays = with_chunk(listen.select(*PLAY_COLUMNS), "ts", seconds)
+    plays = attach_user(plays, users, disjoint, seconds)
+    plays = attach_session(plays, sessions, seconds)
+    instants = session_instants(event_ids(listen, page_view), seconds)
+    plays = attach_end_time(plays, instants, seconds).drop(CHUNK)
     plays = attach_song(plays, songs).drop("artist", "song", "duration")
     plays = attach_location(plays, locations).drop("city", "zip", "state", "lon", "lat")
-    plays = attach_session(plays, sessions)
-    plays = attach_end_time(plays, session_instants(event_ids(listen, page_view), seconds))
-    plays = attach_user(plays, users, disjoint, seconds)
     plays = attach_time(attach_date(plays, dates), times)
     return shape_fact(plays)
 

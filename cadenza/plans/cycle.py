@@ -7,8 +7,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import dashboard, dimensions, fact, history, marts, quality, staging
+from cadenza.operators.ordered import chunk_seconds_for
 from cadenza.schemas import TOPICS
-from cadenza.session import use_utc
+from cadenza.session import prepare
 from cadenza.sources.landing import landing_table, run_ingestion
 from cadenza.sources.tables import materialise, store_fact
 
@@ -40,6 +41,7 @@ def build_staging(
 
 def build_intermediate(stg: dict[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
     listen, page_view = stg["listen_events"], stg["page_view_events"]
+    seconds = chunk_seconds_for(page_view)
     fact.reject_conflicts(fact.event_ids(listen, page_view))
     plans = {
         "int_dim_date": dimensions.int_dim_date(listen),
@@ -48,7 +50,7 @@ def build_intermediate(stg: dict[str, DataFrame], warehouse: str) -> dict[str, D
         "int_dim_location": dimensions.int_dim_location(page_view),
         "int_dim_session": dimensions.int_dim_session(page_view),
         "int_dim_user": history.int_dim_user(
-            stg["auth_events"], listen, page_view, stg["status_change_events"]
+            stg["auth_events"], listen, page_view, stg["status_change_events"], seconds
         ),
     }
     built = {n: materialise(df, warehouse, "intermediate", n) for n, df in plans.items()}
@@ -62,6 +64,7 @@ def build_intermediate(stg: dict[str, DataFrame], warehouse: str) -> dict[str, D
         locations=built["int_dim_location"],
         sessions=built["int_dim_session"],
         disjoint=True,  # periods end where the next one starts
+        seconds=seconds,
     )
     built["int_fact_song_play"] = materialise(
         plays, warehouse, "intermediate", "int_fact_song_play"
@@ -157,7 +160,7 @@ def build_warehouse(
     run_ts: datetime | str | None = None,
 ) -> dict[str, DataFrame]:
     """Landing to dashboard. The first failing check stops the cycle."""
-    use_utc(spark)
+    prepare(spark)
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
     built = build_intermediate(build_staging(landing, warehouse), warehouse)
     check_intermediate(built)
@@ -172,7 +175,7 @@ def run_cycle(
     spark: SparkSession, lake_dir: str, warehouse: str, run_ts: datetime | str | None = None
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Ingest what is new, then rebuild. Returns loaded rows per topic and the tables."""
-    use_utc(spark)
+    prepare(spark)
     loaded = run_ingestion(spark, lake_dir, warehouse)
     landing = {topic: landing_table(spark, warehouse, topic) for topic in TOPICS}
     return loaded, build_warehouse(spark, landing, warehouse, run_ts)

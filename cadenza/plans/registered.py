@@ -15,7 +15,7 @@ from cadenza.operators import (
     dashboard, dimensions, fact, history, marts, quality, reports, staging,
 )
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
-from cadenza.session import shared_dir, use_utc
+from cadenza.session import shared_dir, prepare
 from cadenza.sources import events, lake, landing, messages
 from cadenza.streaming.decode import decode
 from cadenza.streaming.sink import finish, start_topics
@@ -44,7 +44,7 @@ class Source:
     """The layers over one data folder, each a lazy DataFrame."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = use_utc(spark), sf_dir
+        self.spark, self.sf_dir = prepare(spark), sf_dir
 
     def table(self, name: str) -> DataFrame:
         return events.table(self.spark, self.sf_dir, name)

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plays partitioned by (user, chunk) may join on more keys than these without a new shuffle.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
 }
 
@@ -27,10 +29,15 @@ def build_session(app: str = "cadenza", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Dates, hours and partition folders are UTC; a session on another zone is switched."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+_RUNTIME = ["spark.sql.session.timeZone", "spark.sql.requireAllClusterKeysForCoPartition"]
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """A session made elsewhere gets the settings results and plans rely on: dates, hours and
+    partition folders are UTC."""
+    for key in _RUNTIME:
+        if spark.conf.get(key) != SETTINGS[key]:
+            spark.conf.set(key, SETTINGS[key])
     return spark
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from cadenza.operators import marts
 from cadenza.sources.paths import exists, remove_dir
@@ -55,10 +56,10 @@ def store_fact(int_fact: DataFrame, warehouse: str, run_ts: datetime | str) -> D
     if not is_written(spark, path):
         first = marts.with_audit(source, run_ts)
         first.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
-        return spark.read.schema(schema).parquet(path)
+        return _stored(spark, path, schema)
 
     marts.reject_schema_change(spark.read.parquet(path).schema, schema)
-    stored = spark.read.schema(schema).parquet(path)
+    stored = _stored(spark, path, schema)
     # The changes feed the list of dates, the anti join and the new rows: written once, read thrice.
     changed = materialise(
         marts.with_audit(marts.changed_rows(source, stored), run_ts),
@@ -73,7 +74,12 @@ def store_fact(int_fact: DataFrame, warehouse: str, run_ts: datetime | str) -> D
             day
         ).parquet(path)
         _drop_emptied(spark, path, changed, touched)
-    return spark.read.schema(schema).parquet(path)
+    return _stored(spark, path, schema)
+
+
+def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    # Read back, the partition column comes last.
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def _drop_emptied(spark: SparkSession, path: str, changed: DataFrame, touched: list) -> None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
-from cadenza.session import use_utc
+from cadenza.session import prepare
 from cadenza.streaming.decode import decode
 from cadenza.streaming.kafka import read_topic
 
@@ -49,7 +49,7 @@ def start_topics(
     trigger: str | None = TRIGGER,
 ) -> list[StreamingQuery]:
     """Independent queries in one session; ``read`` gives the broker rows of a topic."""
-    use_utc(spark)
+    prepare(spark)
     return [
         write_topic(
             decode(read(topic), EVENT_SCHEMAS[topic]), topic, lake_dir, checkpoint_dir, fmt, trigger
