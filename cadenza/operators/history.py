@@ -119,12 +119,49 @@ def version_numbers(
     )
 
 
-def _version_starts(observations, entity, ts, attributes, seconds) -> DataFrame:
-    # All rows of a version share one state and its first row carries the flag, so the earliest
-    # time per version is the flagged row itself: no grouping and no second shuffle.
-    flagged = _flagged(observations, entity, ts, attributes, seconds)
-    return flagged.filter(F.col("is_new_version") == 1).select(
-        entity, *attributes, F.col(ts).alias("start_time"), CHUNK
+def _versions(observations, entity, ts, attributes, seconds) -> DataFrame:
+    """Rows that start a version, with the next start of the entity in ``_following``.
+
+    All rows of a version share one state, so its earliest row is the one that differs from the row
+    before: no grouping. One pass per chunk, newest first, finds for each row the state before it
+    and the next change after it; only the first row of a chunk must ask the chunk before whether
+    it is a change, and only what is left without a next change asks the chunks after.
+    """
+    newest_first = in_chunk(
+        [entity], [F.col(c).desc_nulls_first() for c in ("start_time", *attributes)]
+    )
+    later_rows = newest_first.rowsBetween(Window.unboundedPreceding, -1)
+    state = F.struct(*attributes)
+    timed = observations.select(entity, *attributes, F.col(ts).alias("start_time"))
+    seen = with_chunk(timed, "start_time", seconds).select(
+        "*",
+        state.alias("_state"),
+        F.lead(state).over(newest_first).alias(_BEFORE),
+        F.lead(F.lit(True)).over(newest_first).isNull().alias("_opens"),
+        F.first(state).over(newest_first).alias("_latest"),
+    )
+    differs = ~F.col("_opens") & ~F.col("_state").eqNullSafe(F.col(_BEFORE))
+    local = seen.withColumn("_differs", differs).withColumn(
+        "_next",
+        F.last(F.when(F.col("_differs"), F.col("start_time")), ignorenulls=True).over(later_rows),
+    )
+
+    chunks = Window.partitionBy(entity).orderBy(F.col(CHUNK).desc())
+    later_chunks = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    edges = local.filter("_opens").withColumn(
+        "_changed", ~F.col("_state").eqNullSafe(F.lead("_latest").over(chunks))
+    )
+    first_start = F.when(F.col("_changed"), F.col("start_time")).otherwise(F.col("_next"))
+    edges = edges.withColumn("_first", first_start).select(
+        entity,
+        CHUNK,
+        "_changed",
+        F.last("_first", ignorenulls=True).over(later_chunks).alias("_later"),
+    )
+    rows = local.filter("_opens or _differs").join(edges, [entity, CHUNK], "left")
+    starts = rows.filter(F.when(F.col("_opens"), F.col("_changed")).otherwise(F.col("_differs")))
+    return starts.select(
+        entity, *attributes, "start_time", F.coalesce("_next", "_later").alias("_following")
     )
 
 
@@ -136,7 +173,7 @@ def version_starts(
     seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """One row per version with the time it was first seen."""
-    return _version_starts(observations, entity, ts, attributes, seconds).drop(CHUNK)
+    return _versions(observations, entity, ts, attributes, seconds).drop("_following")
 
 
 def effective_periods(
@@ -147,15 +184,9 @@ def effective_periods(
     seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
     """Half-open periods [start_time, end_time); the last one is open and active."""
-    starts = _version_starts(observations, entity, ts, attributes, seconds)
-    spec = in_chunk([entity], _order("start_time", attributes))
-    local = starts.withColumn("_next", F.lead("start_time").over(spec)).withColumn(
-        "_last", F.lead(F.lit(True)).over(spec).isNull()
-    )
-    edges = starts.groupBy(entity, CHUNK).agg(F.min("start_time").alias("_first"))
-    rows = carry(local, edges, [entity], lambda w: {"_later": F.lead("_first").over(w)})
-    following = F.when(F.col("_last"), F.col("_later")).otherwise(F.col("_next"))
-    return rows.select(
+    versions = _versions(observations, entity, ts, attributes, seconds)
+    following = F.col("_following")
+    return versions.select(
         entity,
         *attributes,
         "start_time",

@@ -19,9 +19,14 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "4g",
+            "spark.ui.showConsoleProgress": "false",
+            # Tiny inputs: compiling each plan costs more than running it. The registered queries
+            # run with code generation.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.default.parallelism": "2",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -142,4 +142,4 @@ def test_no_task_sees_a_whole_user(spark):
     keys = re.findall(r"Window \[.*\], \[([^\]]*)\], \[([^\]]*)\]$", plan, re.MULTILINE)
     assert len(keys) >= 4
     for partition, order in keys:
-        assert "_chunk" in partition or re.fullmatch(r"_chunk#\d+L ASC NULLS FIRST", order)
+        assert "_chunk" in partition or re.fullmatch(r"_chunk#\d+L (ASC|DESC) NULLS (FIRST|LAST)", order)
