@@ -27,29 +27,40 @@ def timeline(listen: DataFrame, page_view: DataFrame) -> DataFrame:
     return event_ids(listen, page_view).distinct()
 
 
-def session_instants(events: DataFrame, seconds: int = CHUNK_SECONDS) -> DataFrame:
+def session_instants(
+    events: DataFrame, seconds: int = CHUNK_SECONDS, known_only: bool = False
+) -> DataFrame:
     """One row per (user, session, time) with the next time of that session.
 
     Events at one time are ordered by item, so all but the last of them end at that same time; the
     last ends at the next distinct time. Grouping first means that ties, however many, are merged
     before the window, and repeated rows of the timeline need no distinct of their own.
+
+    ``known_only`` leaves out events without a user, session or time, which no play can match; the
+    rest is then partitioned as the plays are in F12, by (user, chunk).
     """
     item = F.col("itemInSession")
+    if known_only:
+        events = events.dropna(subset=["userId", "sessionId", "ts"])
     instants = events.groupBy("userId", "sessionId", "ts").agg(
         F.max(item).alias("last_item"), F.bool_or(item.isNull()).alias("open_item")
     )
-    # A struct keeps sessions without a user or id together and joinable.
-    session = ["_session"]
-    rows = with_chunk(
-        instants.withColumn("_session", F.struct("userId", "sessionId")), "ts", seconds
-    )
+    if known_only:
+        session = ["userId", "sessionId"]
+        rows = with_chunk(instants, "ts", seconds).repartition("userId", CHUNK)
+    else:
+        # A struct keeps sessions without a user or id together and joinable.
+        session = ["_session"]
+        rows = with_chunk(
+            instants.withColumn("_session", F.struct("userId", "sessionId")), "ts", seconds
+        )
     spec = in_chunk(session, [F.col("ts").asc_nulls_last()])
     local = rows.withColumn("_next", F.lead("ts").over(spec))
-    edges = rows.groupBy("_session", CHUNK).agg(F.min("ts").alias("_first"))
+    edges = rows.groupBy(*session, CHUNK).agg(F.min("ts").alias("_first"))
     linked = carry(local, edges, session, lambda w: {"_later": F.lead("_first").over(w)})
+    kept = ["userId", "sessionId", "ts", "last_item", "open_item"]
     return linked.select(
-        "userId", "sessionId", "ts", "last_item", "open_item",
-        F.coalesce("_next", "_later").alias("next_ts"),
+        *kept, F.coalesce("_next", "_later").alias("next_ts"), *([CHUNK] if known_only else [])
     )
 
 
@@ -76,8 +87,10 @@ def _same_partitions(
     """If the plays carry their chunk, join on it too: it follows from the time, so the result is
     the same, and plays partitioned by (user, chunk) need no shuffle of their own."""
     if CHUNK not in plays.columns:
-        return side, keys
-    return with_chunk(side, "ts", seconds), [*keys, CHUNK]
+        return side.drop(CHUNK), keys
+    if CHUNK not in side.columns:
+        side = with_chunk(side, "ts", seconds)
+    return side, [*keys, CHUNK]
 
 
 def attach_end_time(
@@ -272,7 +285,7 @@ def int_fact_song_play(
     plays = with_chunk(listen.select(*PLAY_COLUMNS), "ts", seconds)
     plays = attach_user(plays, users, disjoint, seconds)
     plays = attach_session(plays, sessions, seconds)
-    instants = session_instants(event_ids(listen, page_view), seconds)
+    instants = session_instants(event_ids(listen, page_view), seconds, known_only=True)
     plays = attach_end_time(plays, instants, seconds).drop(CHUNK)
     plays = attach_song(plays, songs).drop("artist", "song", "duration")
     plays = attach_location(plays, locations).drop("city", "zip", "state", "lon", "lat")

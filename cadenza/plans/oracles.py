@@ -360,6 +360,8 @@ _FINAL: dict[str, tuple[list[str], str]] = {
             CAST(hour(make_timestamp_ms(ts)) AS INTEGER) AS hour
         FROM land_page_view_events"""),
     "s4_stream_sink": (_LAND, _DAY_COUNTS),
+    "s6_committed_files": (_LAND, " UNION ALL ".join(
+        f"SELECT '{t}' AS topic, count(*) AS n FROM land_{t}" for t in TOPICS)),
     "s7_ledger_new_files": ([], "SELECT 'loaded' AS state, TRUE AS some"),
     "s8_landing_rows": (_LAND, " UNION ALL ".join(
         f"""SELECT '{t}' AS topic, count(*) AS n, count(DISTINCT "offset") AS offsets FROM land_{t}"""
@@ -367,6 +369,8 @@ _FINAL: dict[str, tuple[list[str], str]] = {
     "s9_ingestion": (_LAND, " UNION ALL ".join(
         f"""SELECT '{t}' AS topic, count(*) AS first_run, CAST(0 AS BIGINT) AS second_run,
             CAST(1 AS BIGINT) AS loads FROM land_{t}""" for t in TOPICS)),
+    "s10_inventory": (_LAND, " UNION ALL ".join(
+        f"SELECT '{t}' AS topic, count(*) > 0 AS holds_data FROM land_{t}" for t in TOPICS)),
     "s11_keyed_messages": (["described"], """
         SELECT CASE WHEN k <> 97 THEN CAST(user_id AS VARCHAR) ELSE '' END AS key, count(*) AS n,
             CAST(sum(ts) AS BIGINT) AS ts_sum

@@ -233,8 +233,16 @@ def _(s: Source) -> DataFrame:
 
 @_query("s6_committed_files")
 def _(s: Source) -> DataFrame:
-    found = _union(lake.committed_files(s.logs(t), t) for t in TOPICS)
-    return found.groupBy("topic", "batch_id").agg(F.count(F.lit(1)).alias("files"))
+    # The committed files hold the rows sent, no more and no fewer.
+    def held(topic: str) -> DataFrame:
+        path = lake.plain_path(F.col("_metadata.file_path")).alias("file_path")
+        stored = s.spark.read.parquet(f"{s.lake()}/{topic}").groupBy(path).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+        files = lake.committed_files(s.logs(topic), topic)
+        return files.join(stored, "file_path").groupBy("topic").agg(F.sum("n").alias("n"))
+
+    return _union(held(t) for t in TOPICS)
 
 
 @_query("s7_ledger_new_files")
@@ -428,7 +436,7 @@ def _(s: Source) -> DataFrame:
 
 @_query("f3_end_time")
 def _(s: Source) -> DataFrame:
-    instants = fact.session_instants(fact.event_ids(s.listen, s.page_view))
+    instants = fact.session_instants(fact.event_ids(s.listen, s.page_view), known_only=True)
     return fact.attach_end_time(s.listen.select(*_PLAY), instants)
 
 

@@ -184,11 +184,12 @@ def test_next_event_in_chunks_equals_one_pass(spark, seconds):
     assert found == expected
 
     # As plays, an event finds its end only by four present ids; a repeat changes nothing.
-    instants = fact.session_instants(df.unionByName(df), seconds)
-    ended = fact.attach_end_time(df, instants)
-    assert {tuple(r)[:4]: r["play_ended_at"] for r in ended.collect()} == {
-        k: None if None in k else v for k, v in expected.items()
-    }
+    for known_only in (False, True):
+        instants = fact.session_instants(df.unionByName(df), seconds, known_only)
+        ended = fact.attach_end_time(df, instants)
+        assert {tuple(r)[:4]: r["play_ended_at"] for r in ended.collect()} == {
+            k: None if None in k else v for k, v in expected.items()
+        }
 
 
 @pytest.mark.parametrize("seconds", [60, 3600, 10_000_000])
