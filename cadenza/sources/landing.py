@@ -130,11 +130,12 @@ def run_ingestion(
     chosen = [topics] if isinstance(topics, str) else list(topics or TOPICS)
     loaded: dict[str, int] = {}
     for topic in chosen:
-        while True:
+        more = True
+        while more:
             pending = pending_files(spark, lake_dir, warehouse, topic)
             files = pending.orderBy("batch_id", "file_path").limit(max_files).collect()
-            if not files:
-                break
-            rows = load_files(spark, warehouse, topic, files)
-            loaded[topic] = loaded.get(topic, 0) + rows
+            if files:
+                rows = load_files(spark, warehouse, topic, files)
+                loaded[topic] = loaded.get(topic, 0) + rows
+            more = len(files) == max_files
     return loaded

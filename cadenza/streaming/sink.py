@@ -64,18 +64,28 @@ def finish(queries: Sequence[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
-def run_from_kafka(
-    spark: SparkSession, servers: str, lake_dir: str, checkpoint_dir: str, **options
+def run_topics(
+    spark: SparkSession,
+    read: Callable[[str], DataFrame],
+    lake_dir: str,
+    checkpoint_dir: str,
+    **options,
 ) -> None:
     """Run until any query ends or fails, then stop them all; also on an interrupt."""
     spark.streams.resetTerminated()
-    start_topics(
-        spark, lambda topic: read_topic(spark, servers, topic), lake_dir, checkpoint_dir, **options
-    )
+    started = start_topics(spark, read, lake_dir, checkpoint_dir, **options)
     try:
         spark.streams.awaitAnyTermination()
     except KeyboardInterrupt:
         pass
     finally:
-        for query in spark.streams.active:
+        for query in started:
             query.stop()
+
+
+def run_from_kafka(
+    spark: SparkSession, servers: str, lake_dir: str, checkpoint_dir: str, **options
+) -> None:
+    run_topics(
+        spark, lambda topic: read_topic(spark, servers, topic), lake_dir, checkpoint_dir, **options
+    )

@@ -1,12 +1,13 @@
 import json
 from collections import Counter
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from cadenza.operators import quality
+from cadenza.__main__ import main, stored_dashboard
+from cadenza.operators import quality, reports
 from cadenza.plans.cycle import run_cycle
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.sources import events, lake, landing, messages
@@ -92,6 +93,26 @@ def test_stream_again_adds_nothing(spark, lake_dir):
     assert spark.read.parquet(f"{lake_dir}/auth_events").count() == before
 
 
+def test_an_interrupt_stops_every_query(spark, tmp_path, monkeypatch):
+    stream = events.describe(
+        events.event_stream(spark, TINY),
+        *(events.table(spark, TINY, n) for n in ("part", "nation", "region")),
+    )
+    running = []
+
+    def interrupt(_):
+        running.extend(q.name for q in spark.streams.active)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(type(spark.streams), "awaitAnyTermination", interrupt)
+    sink.run_topics(
+        spark, lambda t: events.broker_rows(stream, t), str(tmp_path / "lake"),
+        str(tmp_path / "checkpoint"), topics=["auth_events", "listen_events"], trigger="1 hour",
+    )
+    assert sorted(running) == ["auth_events", "listen_events"]
+    assert not spark.streams.active
+
+
 def write_logs(folder, logs):
     meta = folder / "_spark_metadata"
     meta.mkdir(parents=True)
@@ -230,7 +251,7 @@ def test_keyed_messages(spark, tmp_path):
                            ("81", '{"userId":81}')]
 
 
-def test_cycle_twice(spark, lake_dir, tmp_path):
+def test_cycle_twice(spark, lake_dir, tmp_path, capsys):
     warehouse = str(tmp_path)
     loaded, first = run_cycle(spark, lake_dir, warehouse, "2026-11-01 00:00:00")
     assert set(loaded) == set(TOPICS)
@@ -244,3 +265,12 @@ def test_cycle_twice(spark, lake_dir, tmp_path):
     times = Counter(str(r[0]) for r in rows(second["dim_user"], "inserted_time"))
     assert set(times) == {"2026-11-02 00:00:00"}
     assert read_table(spark, warehouse, "dashboard", "filter_options").count() > 0
+
+    stored, _ = stored_dashboard(spark, warehouse)
+    main(["report", "--warehouse", warehouse, "--start", "2024-01-05", "--end", "2024-01-06"])
+    shown = capsys.readouterr().out
+    bundle = reports.load_report(stored, date(2024, 1, 5), date(2024, 1, 6))
+    assert all(name in shown for name in bundle)
+    assert len(bundle["daily"].collect()) == 2
+    with pytest.raises(ValueError, match="dashboard tables are missing"):
+        stored_dashboard(spark, str(tmp_path / "nowhere"))
