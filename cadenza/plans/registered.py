@@ -14,6 +14,7 @@ from cadenza.functions.keys import exact, from_epoch_ms, surrogate_key
 from cadenza.operators import (
     dashboard, dimensions, fact, history, marts, quality, reports, staging,
 )
+from cadenza.plans.audit import audit_topic
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.session import shared_dir, prepare
 from cadenza.sources import events, lake, landing, messages
@@ -765,6 +766,17 @@ def _(s: Source) -> DataFrame:
     )
 
 
+@_query("q13_audit_topics")
+def _(s: Source) -> DataFrame:
+    path, _first, _second = s.warehouse()
+    audits = _union(audit_topic(s.spark, s.lake(), path, t) for t in TOPICS)
+    same = F.col("source_files") == F.col("ledger_files")
+    return audits.select(
+        "topic", "source_rows", "target_rows", "missing_rows", "extra_rows", "schema_differences",
+        same.alias("same_files"), "passed",
+    )
+
+
 @_query("q14_missing_dimensions")
 def _(s: Source) -> DataFrame:
     return quality.missing_dimensions(s.int_fact())

@@ -29,7 +29,8 @@ def _topic_dir(warehouse: str, topic: str) -> str:
 
 
 def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
-    """Empty if there is no ledger yet or it cannot be read."""
+    """Empty if there is no ledger yet. One that is there but damaged is an error when it is
+    read: to take it as empty would load everything again."""
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_dir(warehouse))
     except AnalysisException:

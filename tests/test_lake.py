@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cadenza.__main__ import main, stored_dashboard
 from cadenza.operators import quality, reports
+from cadenza.plans.audit import audit_topic
 from cadenza.plans.cycle import run_cycle
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.sources import events, lake, landing, messages
@@ -200,6 +201,52 @@ def test_ingestion_loads_once(spark, lake_dir, tmp_path):
         assert (report["files_missing_from_ledger"], report["passed"]) == (1, False)
 
 
+def test_audit_of_a_live_topic(spark, tmp_path, monkeypatch):
+    """Two committed files of five rows; one loaded, then both; then the lake moves."""
+    lake_dir, warehouse, topic = tmp_path / "lake", str(tmp_path / "warehouse"), "auth_events"
+    folder = lake_dir / topic / "year=2026"
+    paths = []
+    for n in range(2):
+        part = spark.range(n * 5, n * 5 + 5).withColumn("hour", F.lit(8))
+        part.coalesce(1).write.parquet(str(tmp_path / f"p{n}"))
+        data = next((tmp_path / f"p{n}").glob("*.parquet")).read_bytes()
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"part-{n}.parquet").write_bytes(data)
+        paths.append(str(folder / f"part-{n}.parquet"))
+    logs = lake_dir / topic / "_spark_metadata"
+    logs.mkdir()
+
+    def commit(name, *files):
+        entries = [
+            {"path": f"file://{p}", "size": size, "isDir": False, "modificationTime": 0,
+             "blockReplication": 1, "blockSize": 1, "action": "add"}
+            for p, size in files
+        ]
+        (logs / name).write_text("\n".join(["v1", *map(json.dumps, entries)]))
+
+    sizes = [len((folder / f"part-{n}.parquet").read_bytes()) for n in range(2)]
+    commit("0", (paths[0], sizes[0]))
+    assert landing.run_ingestion(spark, str(lake_dir), warehouse, topic) == {topic: 5}
+    assert audit_topic(spark, str(lake_dir), warehouse, topic).first()["passed"]
+
+    commit("1", (paths[1], sizes[1]))
+    report = audit_topic(spark, str(lake_dir), warehouse, topic).first()
+    assert (report["source_rows"], report["target_rows"], report["missing_rows"]) == (10, 5, 5)
+    assert (report["files_missing_from_ledger"], report["passed"]) == (1, False)
+
+    with monkeypatch.context() as patched:
+        seen = iter([[("0", 1, 1)], [("0", 1, 1), ("1", 1, 1)]])
+        real = lake.read_logs(spark, str(lake_dir / topic))
+        patched.setattr(lake, "read_logs", lambda *_: real)
+        patched.setattr(lake, "log_names", lambda *_: next(seen))
+        with pytest.raises(ValueError, match="the lake changed"):
+            audit_topic(spark, str(lake_dir), warehouse, topic)
+
+    commit("1", (paths[1], sizes[1] + 1))
+    with pytest.raises(ValueError, match="differs from its commit log: .*part-1.parquet"):
+        audit_topic(spark, str(lake_dir), warehouse, topic)
+
+
 def test_a_load_without_its_ledger_row_is_invisible(spark, lake_dir, tmp_path, monkeypatch):
     warehouse, topic = str(tmp_path), "auth_events"
 
