@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.operators import dashboard, dimensions, fact, history, marts, quality, staging
 from cadenza.operators.ordered import chunk_seconds_for
 from cadenza.schemas import TOPICS
-from cadenza.session import prepare
+from cadenza.session import prepare, size_shuffles
 from cadenza.sources.landing import landing_table, run_ingestion
+from cadenza.sources.paths import stored_bytes
 from cadenza.sources.tables import materialise, store_fact
 
 GRAINS = {
@@ -177,5 +178,6 @@ def run_cycle(
     """Ingest what is new, then rebuild. Returns loaded rows per topic and the tables."""
     prepare(spark)
     loaded = run_ingestion(spark, lake_dir, warehouse)
+    size_shuffles(spark, stored_bytes(spark, f"{warehouse}/landing"))
     landing = {topic: landing_table(spark, warehouse, topic) for topic in TOPICS}
     return loaded, build_warehouse(spark, landing, warehouse, run_ts)

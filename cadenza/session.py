@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Shuffle partitions are left to the cluster (AQE coalesces them); the calendar must be UTC.
+# The number of shuffle partitions follows the input, see ``size_shuffles``.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -41,6 +41,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+BYTES_PER_PARTITION = 256 * 1024**2
+MOST_PARTITIONS = 20_000
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the shuffle partitions to fit the input; AQE merges small ones but cannot add any.
+    A larger number set by the user stays."""
+    key = "spark.sql.shuffle.partitions"
+    now = int(spark.conf.get(key))
+    wanted = min(-(-input_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    if wanted > now:
+        spark.conf.set(key, str(wanted))
+    return max(wanted, now)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; only a local session may fall back to a folder of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -33,6 +33,11 @@ def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     ]
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    fs, target = _fs(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)
