@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import token_files
+from cadenza.llm import pieces, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_pieces": pieces.op9,
     "op7_token_files": token_files.op7,
 }
 
