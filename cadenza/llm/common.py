@@ -26,6 +26,9 @@ _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_KIND = np.full(256, 2, np.uint8)
+_KIND[_SPACE] = 0
+_KIND[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -143,6 +146,24 @@ class Words:
         doc = np.repeat(np.arange(docs), np.diff(first))
         return cls(data, start, end, doc, hashes, first)
 
+    @classmethod
+    def runs(cls, data: np.ndarray, offsets: np.ndarray) -> Words:
+        """Runs of word characters (letters, digits, all beyond ASCII) and runs of other visible
+        characters, each a word of its own."""
+        kind, n, docs = _KIND[data], len(data), len(offsets) - 1
+        begins = np.ones(n, bool)
+        if n:
+            begins[1:] = kind[1:] != kind[:-1]
+            begins[offsets[:-1][offsets[:-1] < n]] = True
+        start = np.flatnonzero(begins)
+        end = np.append(start[1:], n)[: len(start)]
+        visible = kind[start] > 0 if n else np.zeros(0, bool)
+        start, end = start[visible], end[visible]
+        first = np.searchsorted(start, offsets)
+        hashes = Sums(data.astype(np.uint64) + np.uint64(1)).span(start, end)
+        doc = np.repeat(np.arange(docs), np.diff(first))
+        return cls(data, start, end, doc, hashes, first)
+
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of one document each, and their hashes."""
         n = len(self.hash)
@@ -172,6 +193,11 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         low = high
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return _LOWER[data]
+
+
 def numbers(column: pa.Array) -> np.ndarray:
     """A long column as int64; missing values become the smallest one."""
     return pc.fill_null(column, -(1 << 63)).to_numpy(zero_copy_only=False).astype(np.int64)

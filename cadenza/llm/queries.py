@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import pieces, token_files
+from cadenza.llm import pieces, quality, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pieces": pieces.op9,
     "op7_token_files": token_files.op7,
+    "op10_quality": quality.op10,
 }
 
 ORACLE_SQL: dict[str, str] = {}
