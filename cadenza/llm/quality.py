@@ -11,8 +11,8 @@
 Only the text is an input of a score. The vectors are ``BUCKETS`` x ``DIMS`` numbers whatever the
 input, so they may be summed over all tasks and sent to each.
 
-Cases: missing and empty texts pool to zero and get the score of that; without labelled rows of
-both kinds every score is the share of label 1 (0.5 without any); repeated rows are kept and scored
+Cases: missing and empty texts pool to zero and get the score of that; with fewer than
+``LEAST_LABELLED`` labelled rows, or one kind only, every score is the share of label 1 (0.5 without any); repeated rows are kept and scored
 alike; an empty table gives no rows; other columns are ignored.
 """
 
@@ -30,6 +30,7 @@ from cadenza.llm.labelled import held_out, training_texts
 
 BUCKETS, DIMS, REACH, NONZERO = 1 << 14, 32, 2, 2
 MOST_LABELLED = 20_000
+LEAST_LABELLED = 10
 THRESHOLD = 0.3
 HIDDEN, EPOCHS = 32, 60
 _SLICES = 16
@@ -135,7 +136,7 @@ class Network:
     def __init__(self, x: np.ndarray, y: np.ndarray):
         rng = np.random.default_rng(7)
         self.prior = float(y.mean()) if len(y) else 0.5
-        self.constant = not 0 < self.prior < 1
+        self.constant = len(y) < LEAST_LABELLED or not 0 < self.prior < 1
         if self.constant:
             return
         order = rng.permutation(len(y))
