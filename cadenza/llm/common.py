@@ -8,9 +8,12 @@ with a chance of about 2^-64 for each pair compared.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import cadenza
 from cadenza.session import shared_dir
 
 SLICE_BYTES = 4 << 20
@@ -65,14 +69,28 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches bounded in rows, so that long texts do not add up in a worker."""
+_shipped: set[str] = set()
+
+
+def for_workers(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application, and bound Arrow batches in
+    rows, so that long texts do not add up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(cadenza.__file__).parent
+        # The driver serves this file to all executors for as long as it runs.
+        archive = f"{tempfile.mkdtemp()}/cadenza-{context.applicationId}.zip"
+        with zipfile.ZipFile(archive, "w") as file:
+            for module in package.rglob("*.py"):
+                file.write(module, module.relative_to(package.parent))
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
 
 
 def whole_texts(documents: DataFrame) -> DataFrame:
     """doc_id and text; a missing text is empty."""
-    bounded_batches(documents.sparkSession)
+    for_workers(documents.sparkSession)
     return documents.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
@@ -125,6 +143,8 @@ class Words:
     hash: np.ndarray
     #: First word of each document, and one past the last.
     first: np.ndarray
+    #: Hashes of any span of bytes.
+    bytes: Sums
 
     @classmethod
     def of(cls, data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
@@ -142,9 +162,9 @@ class Words:
             ends[cut] = inside[cut]
         start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         first = np.searchsorted(start, offsets)
-        hashes = Sums(data.astype(np.uint64) + np.uint64(1)).span(start, end)
+        spans = Sums(data.astype(np.uint64) + np.uint64(1))
         doc = np.repeat(np.arange(docs), np.diff(first))
-        return cls(data, start, end, doc, hashes, first)
+        return cls(data, start, end, doc, spans.span(start, end), first, spans)
 
     @classmethod
     def runs(cls, data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -160,9 +180,9 @@ class Words:
         visible = kind[start] > 0 if n else np.zeros(0, bool)
         start, end = start[visible], end[visible]
         first = np.searchsorted(start, offsets)
-        hashes = Sums(data.astype(np.uint64) + np.uint64(1)).span(start, end)
+        spans = Sums(data.astype(np.uint64) + np.uint64(1))
         doc = np.repeat(np.arange(docs), np.diff(first))
-        return cls(data, start, end, doc, hashes, first)
+        return cls(data, start, end, doc, spans.span(start, end), first, spans)
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of all windows of one document each, and their hashes."""

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import pieces, quality, token_files
+from cadenza.llm import pieces, quality, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": toxicity.op4,
     "op9_pieces": pieces.op9,
     "op7_token_files": token_files.op7,
     "op10_quality": quality.op10,
