@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -74,8 +74,9 @@ _shipped: set[str] = set()
 
 def for_workers(spark: SparkSession) -> None:
     """Send this package to the executors, once for each application, and bound Arrow batches in
-    rows, so that long texts do not add up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    bytes, so that long texts do not add up in a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(cadenza.__file__).parent
@@ -88,6 +89,56 @@ def for_workers(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+_SLICES = 16
+
+
+def summed(
+    df: DataFrame,
+    count: Callable[[Iterator[pa.RecordBatch]], np.ndarray],
+    size: int,
+    kind: type,
+    how: str,
+) -> np.ndarray:
+    """The sum or maximum over all tasks of an array of fixed size that ``count`` makes in each.
+    Slices of the arrays meet in a few streaming tasks; only the result comes to the driver."""
+    step = size // _SLICES
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = count(batches).astype(kind)
+        if found.any():
+            rows = [found[k * step : (k + 1) * step].tobytes() for k in range(_SLICES)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(_SLICES), pa.int32()), pa.array(rows, pa.binary())],
+                ["slice", "part"],
+            )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, part in zip(batch.column("slice").to_pylist(), batch.column("part")):
+                part = np.frombuffer(part.as_buffer(), kind)
+                if k not in totals:
+                    totals[k] = part.copy()
+                elif how == "max":
+                    np.maximum(totals[k], part, out=totals[k])
+                else:
+                    totals[k] += part
+        if totals:
+            rows = [t.tobytes() for t in totals.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(totals), pa.int32()), pa.array(rows, pa.binary())],
+                ["slice", "part"],
+            )
+
+    for_workers(df.sparkSession)
+    schema = "slice int, part binary"
+    arrays = df.mapInArrow(parts, schema).repartition(_SLICES, "slice").mapInArrow(add, schema)
+    result = np.zeros(size, kind)
+    for row in arrays.collect():  # one fixed-size array in _SLICES rows
+        result[row["slice"] * step :][:step] = np.frombuffer(row["part"], kind)
+    return result
+
+
 def whole_texts(documents: DataFrame) -> DataFrame:
     """doc_id and text; a missing text is empty."""
     for_workers(documents.sparkSession)

@@ -25,6 +25,7 @@ gives no shard and no row; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import bounded_batches, mix, numbers, shared_path, table, whole_texts
+from cadenza.llm.common import for_workers, mix, numbers, shared_path, table, whole_texts
 
 END_ID = 2
 #: A shard closes at this many payload bytes or documents.
@@ -43,6 +44,10 @@ SHARD_BYTES, SHARD_DOCS = 8 << 20, 1 << 16
 #: Encoded words a worker remembers before it starts over.
 CACHE_WORDS = 600_000
 
+#: Words without apostrophes, of characters that normalisation leaves alone but for their case.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
 FILES = (
     "part int, shard int, n_docs long, n_null long, n_ids long, payload binary, ends binary, "
     "seeds binary, slots binary, keys binary"
@@ -54,8 +59,9 @@ _TRIES = 1 << 14
 class WordEncoder:
     """Encodes word by word: the tokenizer's splits never cross ASCII white space, which it drops.
 
-    Plain Latin words are one split each, so many are encoded as one text, which is cut where an id
-    ends a word.
+    Plain Latin words are split here as the tokenizer does (runs of letters, single digits, runs of
+    other characters; it ignores case). Many new parts are encoded as one text, which is cut where
+    an id ends a part. All other words are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -69,32 +75,43 @@ class WordEncoder:
         if len(self.ends) > 1 << 16:
             raise ValueError("ids need more than 16 bits")
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2")
 
-    def learn(self, words: list[bytes]) -> None:
-        plain: list[tuple[bytes, str]] = []
-        for word in words:
-            text = word.decode()
-            if text.isalpha() and max(text) < "Ā":
-                plain.append((word, text))
-            else:
-                self.known[word] = self._ids(text).tobytes()
-        for k in range(0, len(plain), 1000):
-            some = plain[k : k + 1000]
-            ids = self._ids(" ".join(t for _, t in some))
+    def _learn_parts(self, parts: list[str]) -> None:
+        for k in range(0, len(parts), 1000):
+            some = parts[k : k + 1000]
+            ids = self._ids(" ".join(some))
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some) or cuts[-1] != len(ids):
-                for word, text in some:
-                    self.known[word] = self._ids(text).tobytes()
+                self.parts.update((part, self._ids(part).tobytes()) for part in some)
                 continue
             raw, low = ids.tobytes(), 0
-            for (word, _), cut in zip(some, (2 * cuts).tolist()):
-                self.known[word] = raw[low:cut]
+            for part, cut in zip(some, (2 * cuts).tolist()):
+                self.parts[part] = raw[low:cut]
                 low = cut
 
+    def learn(self, words: list[bytes]) -> None:
+        plain: list[tuple[bytes, list[str]]] = []
+        for word in words:
+            text = word.decode()
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                plain.append((word, _PARTS.findall(text.lower())))
+            else:
+                self.known[word] = self._ids(text).tobytes()
+        new = {part for _, parts in plain for part in parts}.difference(self.parts)
+        if len(self.parts) + len(new) > CACHE_WORDS:
+            self.parts.clear()
+            new = {part for _, parts in plain for part in parts}
+        self._learn_parts(list(new))
+        for word, parts in plain:
+            self.known[word] = b"".join(map(self.parts.__getitem__, parts))
+
     def encode(self, text: bytes) -> bytes:
+        if b"<|" not in text:  # a special token keeps its case, all else loses it
+            text = text.lower()
         words = text.split()
         new = set(words).difference(self.known)
         if new:
@@ -263,7 +280,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _scan(spark: SparkSession, path: str, keep_ids: bool) -> DataFrame:
-    bounded_batches(spark)
+    for_workers(spark)
     files = spark.read.schema(FILES).parquet(path)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]

@@ -10,7 +10,7 @@ from cadenza.llm.common import shared_path
 TEXTS = [
     (5, "Hello, World!  it's  fine\n\nyes"), (3, None), (1, ""), (None, "no key"),
     (7, "na\u00efve caf\u00e9 \u0130stanbul \u00a0 wide\u2003space \x1c\x85 sep"),
-    (5, "Hello again"), (9, "<|endoftext|> x<|startoftext|>y"), (2, "word " * 30_000),
+    (5, "Hello again"), (8, "A1b22.,;x!! (407)555-77 THE.ß schßung. ÀÉ÷× it's don't**"), (9, "<|endoftext|> x<|startoftext|>y"), (2, "word " * 30_000),
     (11, "\u4f60\u597d \U0001f600 e\u0301 \u0301lone \ud55c\uae00 123abc"), (None, None),
 ]
 

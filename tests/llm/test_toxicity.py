@@ -3,13 +3,13 @@ import numpy as np
 from cadenza.llm import toxicity as tx
 from cadenza.llm.common import table
 
-SMALL = "/root/testdata/sf0.01"
+GIVEN = "/root/testdata/sf0.1"  # sf0.01 has a dozen toxic documents to hold out
 
 
 def test_held_out_accuracy(spark):
-    got = tx.op4(spark, SMALL)
+    got = tx.op4(spark, GIVEN)
     assert got.columns == ["doc_id", "held_out", "score", "predicted"]
-    marked = got.join(table(spark, SMALL, "labels"), "doc_id").where("held_out").toPandas()
+    marked = got.join(table(spark, GIVEN, "labels"), "doc_id").where("held_out").toPandas()
     bad, good = marked[marked.toxic == 1].score, marked[marked.toxic == 0].score
     assert (bad.values[:, None] > good.values[None, :]).mean() > 0.85
     assert (marked.predicted == marked.toxic).mean() > 0.9
