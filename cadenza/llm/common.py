@@ -99,7 +99,7 @@ def summed(
     kind: type,
     how: str,
 ) -> np.ndarray:
-    """The sum or maximum over all tasks of an array of fixed size that ``count`` makes in each.
+    """The sum or union of bits over all tasks of an array of fixed size that ``count`` makes in each.
     Slices of the arrays meet in a few streaming tasks; only the result comes to the driver."""
     step = size // _SLICES
 
@@ -119,8 +119,8 @@ def summed(
                 part = np.frombuffer(part.as_buffer(), kind)
                 if k not in totals:
                     totals[k] = part.copy()
-                elif how == "max":
-                    np.maximum(totals[k], part, out=totals[k])
+                elif how == "or":
+                    totals[k] |= part
                 else:
                     totals[k] += part
         if totals:

@@ -306,10 +306,10 @@ def members_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         bits = np.zeros(1 << FILTER_BITS, np.uint8)
         for batch in batches:
             bits[_bit(numbers(batch.column("doc_id")))] = 1
-        return bits
+        return np.packbits(bits)
 
-    bits = summed(wanted.select("doc_id"), mark, 1 << FILTER_BITS, np.uint8, "max")
-    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(bits))
+    bits = summed(wanted.select("doc_id"), mark, 1 << (FILTER_BITS - 3), np.uint8, "or")
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value)
