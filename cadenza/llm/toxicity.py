@@ -148,19 +148,47 @@ def _features(words: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return pairs // FEATURES, pairs % FEATURES
 
 
-def mine(docs: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Words (hashes) that toxic documents hold far more often than others do; surest first."""
-    if not len(y) or y.min() == y.max():
+def mine(sample: DataFrame) -> np.ndarray:
+    """Words (hashes) that toxic documents of the sample hold far more often than others do; surest
+    first. Counted by Spark: a row for each document (word 0) and each of its different words."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_slices(batch.column("text")):
+                tokens = Tokens.of(data, offsets)
+                label = np.asarray(batch.column("label").slice(low, high - low))
+                order = np.lexsort((tokens.hash, tokens.doc))
+                doc, word = tokens.doc[order], tokens.hash[order]
+                new = np.ones(len(doc), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (word[1:] != word[:-1])
+                words = np.concatenate([np.zeros(high - low, np.uint64), word[new]])
+                labels = np.concatenate([label, label[doc[new]]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words.view(np.int64)), pa.array(labels.astype(np.int64))],
+                    ["word", "label"],
+                )
+
+    counted = (
+        sample.select("label", "text")
+        .mapInArrow(work, "word long, label long")
+        .groupBy("word")
+        .agg(F.sum("label").alias("in1"), F.sum(1 - F.col("label")).alias("in0"))
+    )
+    # Words in fewer toxic documents are not mined; the sample bounds what is left.
+    rows = counted.where("in1 >= 5 or word = 0").where(
+        "word = 0 or in1 > in0 / 10"
+    ).collect()
+    totals = {r["word"]: (r["in1"], r["in0"]) for r in rows}
+    n1, n0 = totals.pop(0, (0, 0))
+    if not n1 or not n0 or not totals:
         return np.zeros(0, np.uint64)
-    distinct, place = np.unique(words, return_inverse=True)
-    n1 = y.sum()
-    n0 = len(y) - n1
-    in1 = np.bincount(place, y[docs], len(distinct))
-    in0 = np.bincount(place, 1 - y[docs], len(distinct))
-    p1, p = in1 / n1, (in1 + in0) / len(y)
+    distinct = np.array(sorted(totals), np.int64)
+    in1, in0 = np.array([totals[w] for w in distinct.tolist()], float).T
+    distinct = distinct.view(np.uint64)
+    p1, p = in1 / n1, (in1 + in0) / (n1 + n0)
     deviation = np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0)) + 1e-12
     keen = (p1 - in0 / n0) / deviation > MINE_DEVIATIONS
-    found = np.flatnonzero(keen & (p1 > 10 * in0 / n0) & (in1 >= 5))
+    found = np.flatnonzero(keen & (p1 > 10 * in0 / n0))
     odds = (in1[found] / n1 + 1e-4) / (in0[found] / n0 + 1e-4)
     return distinct[found[np.lexsort((distinct[found], -odds))]]
 
@@ -283,42 +311,7 @@ def votes_of(documents: DataFrame, voters: Voters) -> DataFrame:
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[Voters, LabelModel, Linear]:
     sample = training_texts(documents, labels, "toxic", held_out(4, 2), MOST_LABELLED)
 
-    def sets_of(voters: Voters | None) -> list[tuple[int, bytes, int]]:
-        """(label, distinct hashes, bits) of the bounded sample, in the same order in any run."""
-
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for low, high, data, offsets in text_slices(batch.column("text")):
-                    tokens = Tokens.of(data, offsets)
-                    order = np.lexsort((tokens.hash, tokens.doc))
-                    cuts = np.searchsorted(tokens.doc[order], np.arange(high - low + 1))
-                    hashes = tokens.hash[order]
-                    sets = [
-                        np.unique(hashes[a:b]).tobytes()
-                        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())
-                    ]
-                    none = np.zeros(high - low, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("label").slice(low, high - low),
-                            pa.array(sets, pa.binary()),
-                            pa.array(voters.votes(data, tokens) if voters else none),
-                        ],
-                        ["label", "words", "bits"],
-                    )
-
-        rows = sample.select("label", "text").mapInArrow(
-            work, "label int, words binary, bits long"
-        )
-        return sorted((r[0], bytes(r[1]), r[2]) for r in rows.collect())
-
-    def flat(rows: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
-        sets = [np.frombuffer(r[1], np.uint64) for r in rows]
-        docs = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        return docs, np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-
-    rows = sets_of(None)
-    voters = Voters(mine(*flat(rows), np.array([r[0] for r in rows], float)))
+    voters = Voters(mine(sample))
 
     marked = sample.select("doc_id", "label").distinct()
     counted = (
@@ -332,12 +325,26 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[Voters, LabelModel, Li
     bits, label, count = (np.array([r[k] for r in counted], np.int64) for k in range(3))
     model = LabelModel(bits, label, count)
 
-    rows = sets_of(voters)
-    docs, words = flat(rows)
-    pairs = np.unique(docs * FEATURES + (words >> np.uint64(48)).astype(np.int64))
-    sample_bits = np.array([r[2] for r in rows], np.int64)
-    goal = model.posterior(sample_bits)
-    linear = Linear(pairs // FEATURES, pairs % FEATURES, sample_bits, goal)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low, high, data, offsets in text_slices(batch.column("text")):
+                tokens = Tokens.of(data, offsets)
+                doc, word = _features(tokens)
+                cuts = np.searchsorted(doc, np.arange(high - low + 1)).tolist()
+                word = word.astype(np.uint16)
+                sets = [word[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sets, pa.binary()), pa.array(voters.votes(data, tokens))],
+                    ["words", "bits"],
+                )
+
+    rows = sample.select("text").mapInArrow(work, "words binary, bits long").collect()
+    rows = sorted((bytes(r["words"]), r["bits"]) for r in rows)  # the same order in any run
+    docs = np.repeat(np.arange(len(rows)), [len(r[0]) // 2 for r in rows])
+    words = np.frombuffer(b"".join(r[0] for r in rows), np.uint16).astype(np.int64)
+    sample_bits = np.array([r[1] for r in rows], np.int64)
+    linear = Linear(docs, words, sample_bits, model.posterior(sample_bits))
     return voters, model, linear
 
 
