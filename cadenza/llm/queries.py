@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import jaccard, pieces, quality, repeats, token_files, toxicity
+from cadenza.llm import (
+    decontamination, jaccard, pieces, quality, repeats, secrets, token_files, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard": jaccard.op2,
+    "op3_decontamination": decontamination.op3,
     "op4_toxicity": toxicity.op4,
     "op5_repeats": repeats.op5,
+    "op8_secrets": secrets.op8,
     "op9_pieces": pieces.op9,
     "op7_token_files": token_files.op7,
     "op10_quality": quality.op10,
