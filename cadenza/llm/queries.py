@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import (
-    decontamination, jaccard, pieces, quality, repeats, secrets, token_files, toxicity,
+    decontamination, jaccard, pieces, quality, repeats, secrets, token_files, topk, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,8 +17,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_repeats": repeats.op5,
     "op8_secrets": secrets.op8,
     "op9_pieces": pieces.op9,
+    "op6_topk": topk.op6,
     "op7_token_files": token_files.op7,
     "op10_quality": quality.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_topk": topk.ORACLE}
