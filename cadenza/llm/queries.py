@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import (
-    decontamination, jaccard, pieces, quality, repeats, secrets, token_files, topk, toxicity,
+    decontamination, jaccard, lm, pieces, quality, repeats, secrets, token_files, topk, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm": lm.op1,
     "op2_jaccard": jaccard.op2,
     "op3_decontamination": decontamination.op3,
     "op4_toxicity": toxicity.op4,
