@@ -8,12 +8,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators import reports
+from cadenza.plans.audit import audit_topic
 from cadenza.plans.cycle import run_cycle
 from cadenza.schemas import TOPICS
 from cadenza.session import build_session
 from cadenza.sources import landing, messages
 from cadenza.sources.tables import is_written, read_table, table_path
 from cadenza.streaming import sink
+from cadenza.streaming.kafka import STARTING
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -26,6 +28,8 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--checkpoint", required=True)
     job.add_argument("--format", default="parquet")
     job.add_argument("--trigger", default=sink.TRIGGER)
+    job.add_argument("--starting", default=STARTING, help="offsets a new query starts from")
+    job.add_argument("--max-offsets", type=int, help="most offsets of a trigger; default: all")
 
     job = jobs.add_parser("ingest", help="new lake files into the landing tables")
     job.add_argument("--lake", required=True)
@@ -42,6 +46,12 @@ def _parser() -> argparse.ArgumentParser:
     job.add_argument("--end", required=True, type=date.fromisoformat)
     job.add_argument("--state", action="append", default=[])
     job.add_argument("--gender", action="append", default=[])
+    job.add_argument("--out", help="folder for the reports; without it they are printed")
+
+    job = jobs.add_parser("audit", help="lake against landing, rows and files, by topic")
+    job.add_argument("--lake", required=True)
+    job.add_argument("--warehouse", required=True)
+    job.add_argument("--topic", action="append", choices=TOPICS)
 
     job = jobs.add_parser("produce", help="JSON lines into a Kafka topic, keyed by user")
     job.add_argument("--folder", required=True)
@@ -67,7 +77,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"cadenza-{args.job}")
     if args.job == "stream":
         sink.run_from_kafka(
-            spark, args.servers, args.lake, args.checkpoint, fmt=args.format, trigger=args.trigger
+            spark,
+            args.servers,
+            args.lake,
+            args.checkpoint,
+            args.starting,
+            args.max_offsets,
+            fmt=args.format,
+            trigger=args.trigger,
         )
     elif args.job == "ingest":
         print(landing.run_ingestion(spark, args.lake, args.warehouse, args.topic))
@@ -78,8 +95,21 @@ def main(argv: list[str] | None = None) -> None:
         plays, _ = stored_dashboard(spark, args.warehouse)
         found = reports.load_report(plays, args.start, args.end, args.state, args.gender)
         for name, df in found.items():
+            if args.out:
+                df.write.mode("overwrite").json(f"{args.out}/{name}")
+                continue
             print(name)
-            df.show(200, truncate=False)
+            for row in df.toLocalIterator():
+                print(row.asDict())
+    elif args.job == "audit":
+        failed = []
+        for topic in args.topic or TOPICS:
+            found = audit_topic(spark, args.lake, args.warehouse, topic).first()
+            print(found.asDict())
+            if not found["passed"]:
+                failed.append(topic)
+        if failed:
+            raise SystemExit(f"lake and landing differ: {', '.join(failed)}")
     else:
         lines = messages.read_lines(spark, args.folder)
         messages.publish(messages.keyed_messages(lines), args.servers, args.topic)

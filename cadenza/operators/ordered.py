@@ -28,14 +28,17 @@ def chunk_of(ts: Column, seconds: int = CHUNK_SECONDS) -> Column:
 
 
 def chunk_seconds_for(events: DataFrame, ts: str = "ts") -> int:
-    """A chunk width for this data, from a minute to a day: if one entity owned every event, evenly
-    spread, its chunks would hold about 50 million. Wide chunks mean fewer edge rows."""
-    rows, first, last = events.agg(
-        F.count(ts), F.unix_seconds(F.min(ts)), F.unix_seconds(F.max(ts))
+    """A chunk width for this data, from a minute to a day: if one entity owned every event, its
+    chunks would hold about 50 million at the usual rate, that of the middle 98 % of the events; a
+    few wrong times do not stretch it. Wide chunks mean fewer edge rows."""
+    seconds = F.unix_seconds(ts)
+    rows, ends = events.agg(
+        F.count(ts), F.percentile_approx(seconds, [0.01, 0.99], 10_000)
     ).first()
     if not rows:
         return CHUNK_SECONDS
-    return int(min(max((last - first + 1) * _ROWS_PER_CHUNK / rows, 60), 86_400))
+    span = (ends[1] - ends[0]) / 0.98 + 1
+    return int(min(max(span * _ROWS_PER_CHUNK / rows, 60), 86_400))
 
 
 def with_chunk(df: DataFrame, ts: str, seconds: int = CHUNK_SECONDS) -> DataFrame:

@@ -42,7 +42,6 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 BYTES_PER_PARTITION = 256 * 1024**2
-MOST_PARTITIONS = 20_000
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
@@ -50,7 +49,7 @@ def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     A larger number set by the user stays."""
     key = "spark.sql.shuffle.partitions"
     now = int(spark.conf.get(key))
-    wanted = min(-(-input_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
     if wanted > now:
         spark.conf.set(key, str(wanted))
     return max(wanted, now)

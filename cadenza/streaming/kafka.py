@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Where a new query starts and how much one trigger takes.
+# Fixed value: where a new query starts.
 STARTING = "earliest"
-MAX_OFFSETS_PER_TRIGGER = 10_000
 
 
 def topic_options(
-    servers: str, topic: str, starting: str = STARTING, max_offsets: int = MAX_OFFSETS_PER_TRIGGER
+    servers: str, topic: str, starting: str = STARTING, max_offsets: int | None = None
 ) -> dict[str, str]:
-    return {
+    """Without ``max_offsets`` a trigger takes all that has arrived."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(max_offsets),
     }
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
+    return options
 
 
 def read_topic(
@@ -25,7 +27,7 @@ def read_topic(
     servers: str,
     topic: str,
     starting: str = STARTING,
-    max_offsets: int = MAX_OFFSETS_PER_TRIGGER,
+    max_offsets: int | None = None,
 ) -> DataFrame:
     """Needs the Kafka connector on the cluster."""
     options = topic_options(servers, topic, starting, max_offsets)

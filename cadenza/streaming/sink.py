@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.session import prepare
 from cadenza.streaming.decode import decode
-from cadenza.streaming.kafka import read_topic
+from cadenza.streaming.kafka import STARTING, read_topic
 
 TRIGGER = "10 seconds"
 PARTITIONS = ["year", "month", "day"]
@@ -84,8 +84,15 @@ def run_topics(
 
 
 def run_from_kafka(
-    spark: SparkSession, servers: str, lake_dir: str, checkpoint_dir: str, **options
+    spark: SparkSession,
+    servers: str,
+    lake_dir: str,
+    checkpoint_dir: str,
+    starting: str = STARTING,
+    max_offsets: int | None = None,
+    **options,
 ) -> None:
-    run_topics(
-        spark, lambda topic: read_topic(spark, servers, topic), lake_dir, checkpoint_dir, **options
-    )
+    def read(topic: str) -> DataFrame:
+        return read_topic(spark, servers, topic, starting, max_offsets)
+
+    run_topics(spark, read, lake_dir, checkpoint_dir, **options)
