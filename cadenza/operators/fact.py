@@ -18,6 +18,20 @@ FACT_COLUMNS = [
 ]
 
 
+_UNMATCHED_CHUNKS = 1 << 16
+
+
+def _play_chunks(plays: DataFrame, seconds: int) -> DataFrame:
+    """Plays with their chunk. No lookup by user and time can match a play without one of them;
+    such plays are dealt over many chunks of their own (below any real one), so that logged-out
+    listeners are no hot key."""
+    spread = F.pmod(F.xxhash64(*plays.columns), F.lit(_UNMATCHED_CHUNKS))
+    unmatched = F.col("userId").isNull() | F.col("ts").isNull()
+    return with_chunk(plays, "ts", seconds).withColumn(
+        CHUNK, F.when(unmatched, F.lit(-(2**62)) + spread).otherwise(F.col(CHUNK))
+    )
+
+
 def event_ids(listen: DataFrame, page_view: DataFrame) -> DataFrame:
     return listen.select(*EVENT_ID).unionByName(page_view.select(*EVENT_ID))
 
@@ -175,7 +189,7 @@ def attach_user(
         return plays.join(versions, covers, "left").drop("user_id", "start_time", "end_time")
 
     starts = with_chunk(_periods(users), "ts", seconds)
-    listens = plays if CHUNK in plays.columns else with_chunk(plays, "ts", seconds)
+    listens = plays if CHUNK in plays.columns else _play_chunks(plays, seconds)
     merged = listens.withColumn("_is_play", F.lit(True)).unionByName(
         starts.withColumn("_is_play", F.lit(False)), allowMissingColumns=True
     )
@@ -187,7 +201,8 @@ def attach_user(
         "_is_play"
     )
     last_started = starts.groupBy("userId", CHUNK).agg(F.max("_period").alias("_last"))
-    chunks = listens.select("userId", CHUNK).distinct().unionByName(
+    known = listens.filter(F.col("userId").isNotNull() & F.col("ts").isNotNull())
+    chunks = known.select("userId", CHUNK).distinct().unionByName(
         last_started, allowMissingColumns=True
     )
     by_chunk = Window.partitionBy("userId").orderBy(CHUNK)
@@ -282,7 +297,7 @@ def int_fact_song_play(
 ) -> DataFrame:
     """the three lookups by user and time come first and share one partitioning of the plays
     (see ``session.SETTINGS``); each lookup then drops the columns it used."""
-    plays = with_chunk(listen.select(*PLAY_COLUMNS), "ts", seconds)
+    plays = _play_chunks(listen.select(*PLAY_COLUMNS), seconds)
     plays = attach_user(plays, users, disjoint, seconds)
     plays = attach_session(plays, sessions, seconds)
     instants = session_instants(event_ids(listen, page_view), seconds, known_only=True)
@@ -294,8 +309,10 @@ def int_fact_song_play(
 
 
 def timeline_conflicts(events: DataFrame) -> DataFrame:
-    """positions of a session that were reported at more than one time."""
-    spans = events.groupBy("userId", "sessionId", "itemInSession").agg(
+    """positions of a session that were reported at more than one time. Events without a user,
+    session or position name no place in a timeline."""
+    known = events.dropna(subset=["userId", "sessionId", "itemInSession"])
+    spans = known.groupBy("userId", "sessionId", "itemInSession").agg(
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
     return spans.filter(F.col("first_ts") < F.col("last_ts"))

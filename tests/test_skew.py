@@ -104,3 +104,27 @@ def test_hot_user_is_spread_over_tasks(spark):
     # The hot user's plays lie in 500 hours of 20.
     hour = F.floor(F.unix_seconds("ts") / 3600)
     assert plays.groupBy("userId", hour).count().agg(F.max("count")).first()[0] == 20
+
+
+def test_plays_without_a_user_are_no_hot_key(spark):
+    n = F.col("id")
+    plays = spark.range(30_000).select(
+        F.when(n % 3 > 0, n % 700).cast("int").alias("userId"),
+        F.when(n % 3 > 0, n % 900).cast("int").alias("sessionId"),
+        F.timestamp_seconds(n % 3600).alias("ts"), n.cast("int").alias("itemInSession"),
+        F.lit("c").alias("city"), F.lit("a").alias("artist"), F.lit("s").alias("song"),
+    )
+    sizes = fact._play_chunks(plays, 3600).groupBy("userId", "_chunk").count()
+    assert sizes.where("userId is null").agg(F.max("count")).first()[0] < 20
+    users = spark.createDataFrame(
+        [("k", 1, "1970-01-01 00:10:00", "1970-01-01 00:20:00")],
+        "user_key string, user_id int, start string, end string",
+    ).select(
+        "user_key", "user_id", F.col("start").cast("timestamp").alias("start_time"),
+        F.col("end").cast("timestamp").alias("end_time"),
+    )
+    found = fact.attach_user(plays, users, disjoint=True)
+    assert found.count() == 30_000
+    inside = F.col("ts").between(F.timestamp_seconds(F.lit(600)), F.timestamp_seconds(F.lit(1199)))
+    wrong = found.where(F.col("user_key").isNotNull() != F.coalesce((F.col("userId") == 1) & inside, F.lit(False)))
+    assert wrong.isEmpty()
