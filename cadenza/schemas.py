@@ -3,44 +3,46 @@
 from pyspark.sql.types import StructType
 
 
-def _schema(*groups: str) -> StructType:
-    """Each group is a type and the names of its neighbouring fields: 'string city zip'."""
+def _schema(fields: str) -> StructType:
+    """'name type, name type, ...'; unlike StructType.fromDDL it needs no session."""
     schema = StructType()
-    for group in groups:
-        data_type, *names = group.split()
-        for name in names:
-            schema.add(name, data_type)
+    for field in fields.split(","):
+        schema.add(*field.split())
     return schema
 
 
-_PERSON = (
-    "string city zip state userAgent",
-    "float lon lat",
-    "integer userId",
-    "string lastName firstName gender",
-    "long registration",
-)
-
+# Names, types and order of the fields as they come over the wire.
 EVENT_SCHEMAS: dict[str, StructType] = {
-    "auth_events": _schema(
-        "long ts sessionId", "string level", "integer itemInSession", *_PERSON, "boolean success"
-    ),
-    "listen_events": _schema(
-        "string artist song", "float duration", "long ts", "integer sessionId",
-        "string auth level", "integer itemInSession", *_PERSON,
-    ),
-    "page_view_events": _schema(
-        "long ts", "integer sessionId", "string page auth method", "integer status",
-        "string level", "integer itemInSession", *_PERSON, "string artist song", "float duration",
-    ),
-    "status_change_events": _schema(
-        "long ts", "integer sessionId", "string auth level", "integer itemInSession", *_PERSON
-    ),
+    topic: _schema(fields)
+    for topic, fields in {
+        "auth_events": """
+            ts long, sessionId long, level string, itemInSession integer, city string, zip string,
+            state string, userAgent string, lon float, lat float, userId integer, lastName string,
+            firstName string, gender string, registration long, success boolean
+        """,
+        "listen_events": """
+            artist string, song string, duration float, ts long, sessionId integer, auth string,
+            level string, itemInSession integer, city string, zip string, state string,
+            userAgent string, lon float, lat float, userId integer, lastName string, firstName string,
+            gender string, registration long
+        """,
+        "page_view_events": """
+            ts long, sessionId integer, page string, auth string, method string, status integer,
+            level string, itemInSession integer, city string, zip string, state string,
+            userAgent string, lon float, lat float, userId integer, lastName string, firstName string,
+            gender string, registration long, artist string, song string, duration float
+        """,
+        "status_change_events": """
+            ts long, sessionId integer, auth string, level string, itemInSession integer, city string,
+            zip string, state string, userAgent string, lon float, lat float, userId integer,
+            lastName string, firstName string, gender string, registration long
+        """,
+    }.items()
 }
 
 TOPICS = list(EVENT_SCHEMAS)
 
 LEDGER_SCHEMA = _schema(
-    "string file_path topic", "long batch_id", "string status", "timestamp ingested_at",
-    "long load_id",
+    "file_path string, topic string, batch_id long, status string, ingested_at timestamp, "
+    "load_id long"
 )

@@ -113,8 +113,10 @@ def inventory(logs: DataFrame, topic: str) -> DataFrame:
 def inventory_problems(logs: DataFrame, topic_path: str) -> DataFrame:
     """Logs of another version, unreadable lines, unknown actions, files outside the topic."""
     current = _current(logs)
-    versions = current.groupBy("log").agg(F.bool_or(F.col("line") == LOG_VERSION).alias("ok"))
-    version = versions.filter(~F.col("ok")).select("log", F.lit("log version").alias("problem"))
+    first = current.groupBy("log").agg(F.min_by("line", "line_no").alias("first"))
+    version = first.filter(~F.col("first").eqNullSafe(LOG_VERSION)).select(
+        "log", F.lit("log version").alias("problem")
+    )
     action, path = F.col("action"), plain_path(F.col("path"))
     problem = (
         F.when(F.col("path").isNull() | action.isNull(), "unreadable line")

@@ -10,11 +10,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from cadenza.schemas import LEDGER_SCHEMA, TOPICS
-from cadenza.sources import lake
+from cadenza.schemas import EVENT_SCHEMAS, LEDGER_SCHEMA, TOPICS
+from cadenza.sources import lake, paths
 
 SUCCESS = "SUCCESS"
 MAX_FILES_PER_LOAD = 10_000
@@ -29,12 +28,11 @@ def _topic_dir(warehouse: str, topic: str) -> str:
 
 
 def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
-    """Empty if there is no ledger yet. One that is there but damaged is an error when it is
-    read: to take it as empty would load everything again."""
-    try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_dir(warehouse))
-    except AnalysisException:
+    """Empty if there is no ledger yet. One that is there but damaged or out of reach is an
+    error: to take it as empty would load everything again."""
+    if not paths.is_dir(spark, _ledger_dir(warehouse)):
         return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_dir(warehouse))
 
 
 def loaded_paths(ledger: DataFrame) -> DataFrame:
@@ -42,14 +40,18 @@ def loaded_paths(ledger: DataFrame) -> DataFrame:
 
 
 def landing_table(spark: SparkSession, warehouse: str, topic: str) -> DataFrame:
-    """The rows of the loads the ledger names."""
+    """The rows of the loads the ledger names; before the first load, none of the schema that
+    the sink writes."""
+    stored = _stored_schema(spark, warehouse, topic)
+    if stored is None:
+        return spark.createDataFrame([], wire_schema(topic))
     loads = (
         read_ledger(spark, warehouse)
         .filter((F.col("topic") == topic) & (F.col("status") == SUCCESS))
         .select("load_id")
         .distinct()
     )
-    rows = spark.read.schema(_stored_schema(spark, warehouse, topic).add("load_id", "long"))
+    rows = spark.read.schema(stored.add("load_id", "long"))
     return (
         rows.parquet(_topic_dir(warehouse, topic))
         .join(loads, "load_id", "left_semi")
@@ -57,6 +59,19 @@ def landing_table(spark: SparkSession, warehouse: str, topic: str) -> DataFrame:
     )
 
 
+def wire_schema(topic: str) -> T.StructType:
+    """What the sink writes for a topic; folder names (year=, month=, day=) are not columns."""
+    schema = T.StructType()
+    for name, kind in (
+        ("topic", "string"), ("partition", "integer"), ("offset", "long"),
+        ("kafka_timestamp", "timestamp"), ("raw_json", "string"),
+    ):
+        schema.add(name, kind)
+    for field in EVENT_SCHEMAS[topic]:
+        schema.add(field.name, "timestamp" if field.name == "ts" else field.dataType)
+    return schema.add("hour", "integer")
+
+
 def _stored_schema(spark: SparkSession, warehouse: str, topic: str) -> T.StructType | None:
     """Columns fixed by the first load of the topic."""
     first = (

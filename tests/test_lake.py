@@ -41,8 +41,10 @@ def lake_dir(spark, tmp_path_factory):
 def test_kafka_options():
     assert kafka.topic_options("a:9092,b:9092", "listen_events") == {
         "kafka.bootstrap.servers": "a:9092,b:9092", "subscribe": "listen_events",
-        "startingOffsets": "earliest", "maxOffsetsPerTrigger": "10000",
+        "startingOffsets": "earliest",
     }
+    limited = kafka.topic_options("a:9092", "listen_events", "latest", 500)
+    assert limited["startingOffsets"] == "latest" and limited["maxOffsetsPerTrigger"] == "500"
 
 
 def test_kafka_needs_its_connector(spark):
@@ -167,6 +169,7 @@ def test_inventory_replays_the_logs(spark, tmp_path):
         (["v1", json.dumps(entry("/data/other/f"))], "outside topic"),
         (["v2", json.dumps(entry("/data/t/f"))], "log version"),
         (["v1", "{broken"], "unreadable line"),
+        ([json.dumps(entry("/data/t/f")), "v1"], "log version"),
     ],
 )
 def test_unsound_logs_are_reported(spark, tmp_path, lines, problem):
@@ -321,3 +324,15 @@ def test_cycle_twice(spark, lake_dir, tmp_path, capsys):
     assert len(bundle["daily"].collect()) == 2
     with pytest.raises(ValueError, match="dashboard tables are missing"):
         stored_dashboard(spark, str(tmp_path / "nowhere"))
+
+
+def test_an_empty_topic_has_no_rows(spark, tmp_path):
+    empty = landing.landing_table(spark, str(tmp_path), "auth_events")
+    assert empty.isEmpty() and {"offset", "raw_json", "userId", "hour"} <= set(empty.columns)
+
+
+def test_a_ledger_out_of_reach_is_no_empty_ledger(spark, tmp_path):
+    (tmp_path / "landing" / "ingestion_ledger").mkdir(parents=True)
+    (tmp_path / "landing" / "ingestion_ledger" / "part-0.parquet").write_text("broken")
+    with pytest.raises(Exception, match="part-0|Parquet|parquet"):
+        landing.loaded_paths(landing.read_ledger(spark, str(tmp_path))).collect()
