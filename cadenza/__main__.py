@@ -93,6 +93,7 @@ def main(argv: list[str] | None = None) -> None:
         print(loaded)
     elif args.job == "report":
         plays, _ = stored_dashboard(spark, args.warehouse)
+        plays = reports.days_of(plays, args.start, args.end)
         found = reports.load_report(plays, args.start, args.end, args.state, args.gender)
         for name, df in found.items():
             if args.out:

@@ -64,6 +64,12 @@ def load_metadata(song_plays: DataFrame, filter_options: DataFrame) -> dict[str,
     }
 
 
+def days_of(song_plays: DataFrame, start: date, end: date) -> DataFrame:
+    """The folders of a range of dates in the stored play table, which has one for each date: the
+    others are not opened. Plays without a time are in none of them."""
+    return song_plays.filter(F.col("play_date").between(start, end))
+
+
 def select_plays(
     song_plays: DataFrame,
     start: date,

@@ -135,7 +135,10 @@ def build_dashboard(result: dict[str, DataFrame], warehouse: str) -> dict[str, D
         ),
         "filter_options": dashboard.filter_options(locations, users),
     }
-    return {n: materialise(df, warehouse, "dashboard", n) for n, df in plans.items()}
+    days = {"song_plays": "play_date"}
+    return {
+        n: materialise(df, warehouse, "dashboard", n, day=days.get(n)) for n, df in plans.items()
+    }
 
 
 def check_dashboard(result: dict[str, DataFrame], boards: dict[str, DataFrame]) -> None:

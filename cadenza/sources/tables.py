@@ -30,11 +30,22 @@ def read_table(spark: SparkSession, warehouse: str, layer: str, name: str) -> Da
     return spark.read.parquet(table_path(warehouse, layer, name))
 
 
+def by_date(df: DataFrame, day: str):
+    """A writer with a folder for each date. Rows of a date come together first, in as many tasks as
+    their bytes ask for, so a date has few files, whatever the number of tasks before."""
+    return df.hint("rebalance", day).write.partitionBy(day)
+
+
 def materialise(
-    df: DataFrame, warehouse: str, layer: str, name: str, kind: str = "table"
+    df: DataFrame,
+    warehouse: str,
+    layer: str,
+    name: str,
+    kind: str = "table",
+    day: str | None = None,
 ) -> DataFrame:
-    """Register a view, or write a table and read it back: the next layer starts from files, which
-    survive the loss of executors, not from a long lineage."""
+    """Register a view, or write a table (with a folder for each ``day``) and read it back: the next
+    layer starts from files, which survive the loss of executors, not from a long lineage."""
     spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(name)
@@ -42,8 +53,8 @@ def materialise(
     if kind != "table":
         raise ValueError(f"unknown kind of table: {kind}")
     path = table_path(warehouse, layer, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (by_date(df, day) if day else df.write).mode("overwrite").parquet(path)
+    return _stored(spark, path, df.schema)
 
 
 def store_fact(int_fact: DataFrame, warehouse: str, run_ts: datetime | str) -> DataFrame:
@@ -55,7 +66,7 @@ def store_fact(int_fact: DataFrame, warehouse: str, run_ts: datetime | str) -> D
     schema = marts.with_audit(source.limit(0), run_ts).schema
     if not is_written(spark, path):
         first = marts.with_audit(source, run_ts)
-        first.write.mode("overwrite").partitionBy(FACT_PARTITION).parquet(path)
+        by_date(first, FACT_PARTITION).mode("overwrite").parquet(path)
         return _stored(spark, path, schema)
 
     marts.reject_schema_change(spark.read.parquet(path).schema, schema)
@@ -70,9 +81,9 @@ def store_fact(int_fact: DataFrame, warehouse: str, run_ts: datetime | str) -> D
     touched = [r[0] for r in changed.select(day).unionByName(replaced).distinct().collect()]
     if touched:
         new = marts.upsert(stored.filter(F.col(day).isin(touched)), changed)
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            day
-        ).parquet(path)
+        by_date(new, day).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(
+            path
+        )
         _drop_emptied(spark, path, changed, touched)
     return _stored(spark, path, schema)
 

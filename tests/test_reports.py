@@ -1,8 +1,10 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from cadenza.operators import dashboard, marts, quality, reports
+from cadenza.sources.tables import materialise
 from conftest import at, rows
 
 RUN = "2026-11-01 00:00:00"
@@ -152,3 +154,25 @@ def test_filter_reaches_the_scan(spark, board, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert "GreaterThanOrEqual(play_started_at" in scan and "LessThan(play_started_at" in scan
     assert "ReadSchema: struct<play_started_at:timestamp,state:string>" in scan
+
+
+def test_stored_plays_are_pruned_by_date(spark, tmp_path):
+    n = F.col("id")
+    plays = spark.range(0, 4_000, 1, 8).select(
+        F.sha2(n.cast("string"), 256).alias("play_key"), n.cast("int").alias("user_id"),
+        F.lit("s").alias("song_key"), F.lit("l").alias("location_key"),
+        F.timestamp_seconds(n * 700).alias("play_started_at"), F.lit(1.0).alias("listened_seconds"),
+        *[F.lit("x").alias(c) for c in ("state", "gender", "song", "artist")],
+        F.to_date(F.timestamp_seconds(n * 700)).alias("play_date"),
+        F.lit(1).alias("weekday"), F.lit(1).alias("hour"),
+    )
+    stored = materialise(plays, str(tmp_path), "dashboard", "song_plays", day="play_date")
+    assert stored.dtypes == plays.dtypes and stored.count() == 4_000
+    days = list((tmp_path / "dashboard" / "song_plays").glob("play_date=*"))
+    files = [f for d in days for f in d.glob("*.parquet")]
+    assert len(days) == 33 and len(files) == len(days)
+    day = date(1970, 1, 3)
+    chosen = reports.select_plays(reports.days_of(stored, day, day), day, day)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(play_date" in plan
+    assert chosen.count() == plays.where("play_date = '1970-01-03'").count() > 0
