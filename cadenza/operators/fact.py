@@ -309,15 +309,15 @@ def int_fact_song_play(
 
 
 def timeline_conflicts(events: DataFrame) -> DataFrame:
-    """positions of a session that were reported at more than one time. Events without a user,
-    session or position name no place in a timeline."""
-    known = events.dropna(subset=["userId", "sessionId", "itemInSession"])
-    spans = known.groupBy("userId", "sessionId", "itemInSession").agg(
+    """positions of a session that were reported at more than one time."""
+    spans = events.groupBy("userId", "sessionId", "itemInSession").agg(
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )
     return spans.filter(F.col("first_ts") < F.col("last_ts"))
 
 
 def reject_conflicts(events: DataFrame) -> None:
-    if not timeline_conflicts(events).isEmpty():
+    """Events without a user, session or position name no place in a timeline: they stop no run."""
+    known = events.dropna(subset=["userId", "sessionId", "itemInSession"])
+    if not timeline_conflicts(known).isEmpty():
         raise ValueError(CONFLICT)
