@@ -8,6 +8,7 @@ with a chance of about 2^-64 for each pair compared.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -47,9 +48,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read back: the lineage ends here."""
+    """df written to the shared folder and read back: the lineage ends here.
+
+    Shuffle files of what is done go when the driver collects its handles to them, which a driver
+    with a large heap may not do for half an hour; so it is asked to.
+    """
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -244,8 +251,10 @@ class Words:
         return at, Sums(self.hash).span(at, at + width)
 
 
-def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of pieces of about SLICE_BYTES; whole rows only."""
+def text_slices(
+    texts: pa.Array, size: int = SLICE_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of pieces of about ``size`` bytes; whole rows only."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts, "")
@@ -258,7 +267,7 @@ def text_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     data = np.frombuffer(values, np.uint8) if values else np.zeros(0, np.uint8)
     low = 0
     while low < len(texts):
-        high = int(np.searchsorted(offsets, offsets[low] + SLICE_BYTES, "right")) - 1
+        high = int(np.searchsorted(offsets, offsets[low] + size, "right")) - 1
         high = min(max(high, low + 1), len(texts))
         yield low, high, data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         low = high

@@ -12,8 +12,8 @@ is lossless.
 3. Prefix shingles meet by value, in order, as a stream: a task holds one list. A short list gives
    all its pairs; a long list (salted if the sketch says that it is very long) links every node to
    the first one only, and is kept for step 5.
-4. Candidates are verified on whole sets: first the best one of each node, then those that still
-   join two components.
+4. Candidates are verified on whole sets: first the best one of each node, then of each two
+   components, then those that still join two components.
 5. In long lists, pairs of nodes that are in different components are candidates too, so no link
    between components is lost; pairs inside a component need no check. A group of thousands of
    near copies costs a few checks for each member, not all pairs.
@@ -48,7 +48,9 @@ SKETCH_BITS = 20
 SHORT = 8
 #: Rows of one salted part of a long list, about.
 SALTED = 128
-MOST_MATCHES = 8
+#: Matches asked for fit 16 bits.
+MOST_MATCHES = (1 << 16) - 1
+CHANCE, ROW = 0.05, 4.0
 FILTER_BITS = 23
 _NONE = -(1 << 63)
 
@@ -127,13 +129,15 @@ def ordered(members: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def matches(levels: np.ndarray, n: int) -> int:
-    """How many shared prefix shingles to ask for: the number with the least estimated cost, which
-    is the listed rows over the matches asked for, plus the rows that lengthening adds."""
+    """How many shared prefix shingles to ask for: the number with the least estimated cost. Each
+    prefix shingle brings CHANCE partners, more if the sketch says so; one of them is a candidate if
+    it comes up once for each match asked for, and costs a check of n shingles. Each row of the
+    prefix costs ROW."""
     base = prefix_size(n)
     most = min(MOST_MATCHES, n - base + 1)
-    listed = np.cumsum(np.exp2(levels[: base + most - 1].astype(float)) - 1)[base - 1 :]
+    brought = np.cumsum(np.exp2(levels[: base + most - 1].astype(float)) - 1 + CHANCE)[base - 1 :]
     asked = np.arange(1, most + 1)
-    return int(np.argmin(listed / asked + asked)) + 1
+    return int(np.argmin(n * brought / asked + ROW * asked)) + 1
 
 
 def prefixes(texts: DataFrame, level: np.ndarray) -> DataFrame:
@@ -166,7 +170,7 @@ def prefixes(texts: DataFrame, level: np.ndarray) -> DataFrame:
 
 
 def _packed(n: np.ndarray, entry: np.ndarray, asked: np.ndarray) -> np.ndarray:
-    return n.astype(np.int64) << 16 | entry.astype(np.int64) << 8 | asked.astype(np.int64)
+    return n.astype(np.int64) << 32 | entry.astype(np.int64) << 16 | asked.astype(np.int64)
 
 
 def listed(found: DataFrame, level: np.ndarray) -> DataFrame:
@@ -213,9 +217,9 @@ class Lists:
     def _pair(self, x: np.ndarray, y: np.ndarray, star: bool) -> None:
         """Rows of x and y share a token; keep those whose sizes allow a link and whose matches do
         count the token."""
-        n, m = x[3] >> 16, y[3] >> 16
-        entry = np.maximum(x[3] >> 8 & 255, y[3] >> 8 & 255)
-        asked = np.minimum(x[3] & 255, y[3] & 255)
+        n, m = x[3] >> 32, y[3] >> 32
+        entry = np.maximum(x[3] >> 16 & 0xFFFF, y[3] >> 16 & 0xFFFF)
+        asked = np.minimum(x[3] & 0xFFFF, y[3] & 0xFFFF)
         keep = (PART * np.maximum(n, m) <= WHOLE * np.minimum(n, m)) & (entry <= asked)
         a, b = np.minimum(x[2], y[2]), np.maximum(x[2], y[2])
         found = np.stack([a, b, asked, np.full(len(a), int(star))])
@@ -277,8 +281,12 @@ def meet(rows: DataFrame) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough."""
+def verified(pairs: DataFrame, texts: DataFrame, profile: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose whole sets are similar enough. Only the sets of their ends are made."""
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = profile.join(ends, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sets = members_of(texts, wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,9 +301,10 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     named = [sets.select(F.col("node").alias(k), F.col("members").alias(v)) for k, v in ("ax", "by")]
-    return pairs.select("a", "b").join(named[0], "a").join(named[1], "b").select(
-        "a", "b", "x", "y"
-    ).mapInArrow(work, "a long, b long")
+    links = pairs.join(named[0], "a").join(named[1], "b").select("a", "b", "x", "y")
+    links = stored(links.mapInArrow(work, "a long, b long"), "links")
+    dropped(pairs)
+    return links
 
 
 def members_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -336,34 +345,36 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     for end in ("a", "b"):
         of = labels.select(F.col("node").alias(end), F.col("component").alias(f"of_{end}"))
         pairs = pairs.join(of, end, "left")
-    own = [F.coalesce(f"of_{end}", end) for end in ("a", "b")]
-    return pairs.where(own[0] != own[1]).drop("of_a", "of_b")
+        pairs = pairs.withColumn(f"own_{end}", F.coalesce(f"of_{end}", end)).drop(f"of_{end}")
+    return pairs.where("own_a <> own_b")
 
 
 def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
     """node, component of all nodes that link with another one."""
     level = sketch(texts)
     lists = stored(meet(listed(prefixes(texts, level), level)), "lists")
+    # What a pair shares in long lists is known in part only: step 5 counts it again.
     shared = lists.where("k = 0").groupBy("a", "b").agg(
-        F.count("*").alias("found"), F.min("c").alias("asked"), F.max("d").alias("star")
+        F.count("*").alias("found"), F.min("c").alias("asked"), F.sum(1 - F.col("d")).alias("short")
     )
-    candidates = stored(shared.where("found >= asked or star = 1"), "candidates")
+    candidates = stored(shared.where("found >= asked"), "candidates")
     long = lists.where("k = 1").select(
         F.col("a").alias("token"), F.col("c").alias("node"), F.col("d").alias("meta")
     )
 
-    ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b"))
-    ends = ends.union(long.select("node")).distinct()
-    wanted = profile.join(ends, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = stored(members_of(texts, wanted), "sets")
-
-    # The most promising partner of each node, then all that still join two components.
-    best = candidates.groupBy(F.col("b").alias("b")).agg(F.max_by("a", F.struct("found", "a")).alias("a"))
-    edges = stored(verified(best, sets), "edges-best")
-    labels = components(edges)
-    more = stored(verified(_apart(candidates, labels), sets), "edges-more")
-    edges = edges.union(more)
+    # The most promising partner of each node, then that of each two components, then all that
+    # still join two components.
+    better = F.struct("found", "a", "b")
+    best = candidates.groupBy(F.col("b").alias("of")).agg(F.max(better).alias("p")).select("p.*")
+    edges = verified(best, texts, profile)
     labels = components(edges)
+    for every in (False, True):
+        left = _apart(candidates, labels)
+        if not every:
+            ends = [F.least("own_a", "own_b"), F.greatest("own_a", "own_b")]
+            left = left.groupBy(*ends).agg(F.max(better).alias("p")).select("p.*")
+        edges = edges.union(verified(left, texts, profile))
+        labels = components(edges)
 
     rows = long.join(labels, "node", "left").select(
         "token", "node", "meta", F.coalesce("component", "node").alias("component")
@@ -373,9 +384,9 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
     left, right = (
         rows.select(
             "token", F.col("node").alias(end), F.col("component").alias(f"of_{end}"),
-            F.shiftright("meta", 16).alias(f"n_{end}"),
-            F.shiftright("meta", 8).bitwiseAND(F.lit(255)).alias(f"entry_{end}"),
-            F.col("meta").bitwiseAND(F.lit(255)).alias(f"asked_{end}"),
+            F.shiftright("meta", 32).alias(f"n_{end}"),
+            F.shiftright("meta", 16).bitwiseAND(F.lit(0xFFFF)).alias(f"entry_{end}"),
+            F.col("meta").bitwiseAND(F.lit(0xFFFF)).alias(f"asked_{end}"),
         )
         for end in ("a", "b")
     )
@@ -389,13 +400,13 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("found"), F.min(asked).alias("asked"))
     )
     # Lists that gave pairs at once count as well, and checked pairs need no second check.
-    before = shared.where("star = 0 or found < asked").select("a", "b", F.col("found").alias("short"))
+    before = shared.where("found < asked and short > 0").select("a", "b", "short")
     across = across.join(before, ["a", "b"], "left").join(
         candidates.select("a", "b"), ["a", "b"], "left_anti"
     )
     across = across.where("found + coalesce(short, 0) >= asked")
-    edges = stored(edges.union(verified(across, sets)), "edges")
-    dropped(lists, candidates, sets, rows)
+    edges = edges.union(verified(across, texts, profile))
+    dropped(lists, candidates, rows)
     return components(edges)
 
 
