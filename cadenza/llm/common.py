@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 import cadenza
 from cadenza.session import shared_dir
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 
@@ -170,7 +170,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = 1 << int(n).bit_length()
+        size = n + n // 8
         for k, factor in enumerate((_MULTIPLIER, _INVERSE)):
             base = np.full(size, factor, np.uint64)
             base[0] = 1

@@ -474,3 +474,34 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .dropDuplicates(["__id", "__node", "__own"])
         .select(*docs.columns)
     )
+
+
+ORACLE = """
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), starts AS (
+    SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1))) AS i FROM split
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS s FROM starts
+    UNION ALL
+    SELECT doc_id, array_to_string(words, ' ') FROM split WHERE len(words) BETWEEN 1 AND 4
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * shared >= 75 * (p.n + q.n - shared)
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+)
+SELECT reach.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles,
+    min(other) AS component_id
+FROM reach LEFT JOIN sizes ON sizes.doc_id = reach.doc_id GROUP BY reach.doc_id
+"""

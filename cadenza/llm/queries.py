@@ -23,4 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": quality.op10,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_topk": topk.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op2_jaccard": jaccard.ORACLE,
+    "op5_repeats": repeats.ORACLE,
+    "op6_topk": topk.ORACLE,
+}

@@ -43,6 +43,8 @@ WINDOW = 35
 #: Words of a k-mer.
 K = 12
 FILTER_BITS = 24
+#: Bytes of text whose windows are held at once.
+SLICE = 1 << 20
 
 _DOC = ["doc_id", "text_hash"]
 _DOC_TYPES = "doc_id long, text_hash long"
@@ -96,7 +98,7 @@ def occurrences(texts: DataFrame, edges: bool) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SLICE):
                 paths = Paths(data, offsets)
                 if edges:
                     rest, names = [_signed(e) for e in paths.edges()], ["into", "out"]
@@ -149,7 +151,7 @@ def _hashed(texts: DataFrame, bits: np.ndarray, inside: bool) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SLICE):
                 hashes = Sums(data.astype(np.uint64) + np.uint64(1)).span(offsets[:-1], offsets[1:])
                 part = batch.slice(low, high - low)
                 keep = bits[_filter_bit(numbers(part.column("doc_id")), hashes.view(np.int64))]
@@ -180,7 +182,7 @@ def decided(flagged: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SLICE):
                 paths, part = Paths(data, offsets), batch.slice(low, high - low)
                 if not len(paths.window):
                     continue
@@ -297,3 +299,31 @@ def _kept(texts: DataFrame, digest: bool) -> DataFrame:
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _kept(whole_texts(table(spark, sf_dir, "documents")), digest=True)
+
+
+ORACLE = """
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), starts AS (
+    SELECT doc_id, words, unnest(range(1, greatest(len(words) - 33, 1))) AS i FROM split
+), windows AS (
+    SELECT doc_id, i, array_to_string(list_slice(words, i, i + 34), ' ') AS s FROM starts
+), repeated AS (
+    SELECT s FROM windows GROUP BY s HAVING count(*) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, i + k AS place
+    FROM windows JOIN repeated USING (s), (SELECT unnest(range(0, 35)) AS k)
+), words AS (
+    SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM split
+), kept AS (
+    SELECT words.doc_id, count(*) AS n_words, count(gone.place) AS n_removed,
+        string_agg(word, ' ' ORDER BY words.place) FILTER (WHERE gone.place IS NULL) AS text
+    FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.place = words.place
+    GROUP BY words.doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words,
+    CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""
