@@ -82,8 +82,8 @@ _shipped: set[str] = set()
 def for_workers(spark: SparkSession) -> None:
     """Send this package to the executors, once for each application, and bound Arrow batches in
     bytes, so that long texts do not add up in a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(cadenza.__file__).parent

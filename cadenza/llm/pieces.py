@@ -34,7 +34,7 @@ from cadenza.llm.common import Sums, mix, table, whole_texts
 
 MARK = "▁"
 #: Encoded words a worker remembers before it starts over.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Characters of the words that advance together.
 MATRIX = 1 << 20
 _FILTER_BITS = 20
