@@ -2,10 +2,13 @@
 
 Only DataFrame functions are used.
 
-1. Words lose their outer punctuation and case; numbers, names (a capitalised word in the middle of
-   a sentence) and units (behind a number) become typed placeholders. The words of a text and of its
-   template stay aligned.
-2. Windows of ``WINDOW`` template words (a shorter item is one window) meet by hash in an equi-join.
+1. Words lose their outer punctuation and case; numbers, names and units (behind a number) become
+   typed placeholders. A name is a word that the items have as one (capitalised in the middle of a
+   sentence, or at its start and nowhere in lower case), in whatever case, or a capitalised word that
+   no item holds. So a word's type depends on no case or punctuation around it. The words of a text
+   and of its template stay aligned. The words of the items come to the driver.
+2. Windows of ``WINDOW`` words (a shorter item is one window) meet by hash in an equi-join: the plain
+   words, and the template if it has a placeholder.
    Items go to all tasks if their windows are few (counted first), else both sides are shuffled.
    Only documents that hold a seed are cut into windows: the seed of an item's window is its longest
    pair of adjacent plain words. A match needs several windows, so an item's weakest windows, one
@@ -48,23 +51,43 @@ UNITS = (
 ).split()
 _OUTER = r"^[\p{P}\p{S}]+|[\p{P}\p{S}]+$"
 _BETWEEN = r"[^\p{L}\p{N}]+"
-#: A capitalised word behind a word of the same sentence.
-_NAME = r"(?<=[\p{Ll}\p{N},;:]\x20)(\p{Lu}\p{Ll}+)"
-_MARK = "\u0001"
+#: A capitalised word behind a word of the same sentence, and any.
+_NAME = r"(?<=[\p{Ll}\p{N},;:][\x20\x09-\x0D])(\p{Lu}\p{Ll}+[^\x20\x09-\x0D]*)"
+_CAPITAL = r"^\p{Lu}\p{Ll}"
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def templates(rows: DataFrame, key: list[str]) -> DataFrame:
-    """key, words (plain, lower case) and types (0 word, 1 number, 2 name, 3 unit) of each text."""
+def _stripped(words: Column) -> Column:
+    plain = F.transform(words, lambda w: F.regexp_replace(w, F.lit(_OUTER), F.lit("")))
+    return F.filter(plain, lambda w: w != "")
+
+
+def vocabulary(items: DataFrame) -> tuple[list[str], list[str]]:
+    """The names, and all other words, of the items (lower case)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    named = F.regexp_replace(text, _NAME, F.lit(f"{_MARK}$1"))
-    plain = F.transform(
-        _words(F.lower(named)), lambda w: F.regexp_replace(w, F.lit(_OUTER), F.lit(""))
+    inside = items.select(
+        F.explode(_stripped(F.regexp_extract_all(text, F.lit(_NAME), F.lit(1)))).alias("w")
+    ).select(F.lower("w").alias("word"), F.lit(True).alias("inside"), F.lit(False).alias("small"))
+    words = items.select(F.explode(_stripped(_words(text))).alias("w")).select(
+        F.lower("w").alias("word"), F.lit(False), ~F.col("w").rlike(_CAPITAL)
+    )
+    found = (
+        inside.union(words)
+        .groupBy("word")
+        .agg((F.bool_or("inside") | ~F.bool_or("small")).alias("name"))
+        .collect()
     )
-    plain = F.filter(plain, lambda w: (w != "") & (w != _MARK))
+    return [r["word"] for r in found if r["name"]], [r["word"] for r in found if not r["name"]]
+
+
+def templates(rows: DataFrame, key: list[str], names: list[str], others: list[str]) -> DataFrame:
+    """key, words (plain, lower case) and types (0 word, 1 number, 2 name, 3 unit) of each text.
+    names, others: the vocabulary of the items."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    plain = _stripped(_words(text))
     units = F.array(*map(F.lit, UNITS))
 
     def kind(word: Column, i: Column) -> Column:
@@ -72,7 +95,7 @@ def templates(rows: DataFrame, key: list[str]) -> DataFrame:
         before = F.get(F.col("words"), i - 1)
         return (
             F.when(digit & word.rlike(NUMBER), 1)
-            .when(F.startswith(word, F.lit(_MARK)), 2)
+            .when(word.isin(names), 2)
             .when(
                 (i > 0)
                 & F.substring(before, -1, 1).between("0", "9")
@@ -80,23 +103,49 @@ def templates(rows: DataFrame, key: list[str]) -> DataFrame:
                 & F.array_contains(units, word),
                 3,
             )
+            .when(F.get(F.col("raw"), i).rlike(r"^\p{Lu}") & ~word.isin(others), 2)
             .otherwise(0)
         )
 
-    return rows.select(*key, plain.alias("words")).select(
-        *key, "words", F.transform("words", kind).alias("types")
+    lower = F.transform("raw", F.lower)
+    return (
+        rows.select(*key, plain.alias("raw"))
+        .select(*key, "raw", lower.alias("words"))
+        .select(*key, "words", F.transform("words", kind).alias("types"))
+    )
+
+
+def _rows(i: Column, width: Column, typed: Column) -> Column:
+    """at, hash, slots of the window at i: its plain words, and its template if it has a placeholder."""
+    some = F.slice("types", i + 1, width)
+    slots = F.zip_with(
+        F.slice("words", i + 1, width),
+        some,
+        lambda w, t: F.when(t > 0, F.concat_ws(":", t.cast("string"), w)),
+    )
+    place = i.alias("at")
+    plain = F.struct(
+        place,
+        F.xxhash64(F.slice("plain", i + 1, width)).alias("hash"),
+        F.lit(None).cast("array<string>").alias("slots"),
+    )
+    template = F.struct(
+        place, F.xxhash64(F.slice("codes", i + 1, width)).alias("hash"), slots.alias("slots")
+    )
+    return F.when(typed & F.exists(some, lambda t: t > 0), F.array(plain, template)).otherwise(
+        F.array(plain)
     )
 
 
 def windows(found: DataFrame, key: list[str], short: bool) -> DataFrame:
-    """key, at, hash, n (words of the window), slots (types and words behind placeholders, else
-    null). With ``short``, a text of fewer than WINDOW words is one window."""
+    """key, at, hash, n (words of the window), slots (types and words behind placeholders; null in
+    the row of the plain words, which each window has). With ``short``, a text of fewer than WINDOW words is one window."""
     coded = F.zip_with(
         "words", "types", lambda w, t: F.when(t == 0, F.xxhash64(w)).otherwise(t.cast("long"))
     )
     found = found.select(
-        *key, "words", "types", coded.alias("codes"), F.exists("types", lambda t: t > 0).alias("typed"),
-        F.size("words").alias("size"),
+        *key, "words", "types", coded.alias("codes"), F.transform("words", lambda w: F.xxhash64(w)).alias("plain"),
+        F.exists("types", lambda t: t > 0).alias("typed"), F.size("words").alias("size"),
     )
     last = F.col("size") - WINDOW
     least = SHORTEST if short else WINDOW
@@ -104,21 +153,10 @@ def windows(found: DataFrame, key: list[str], short: bool) -> DataFrame:
     places = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
 
     def window(i: Column) -> Column:
-        some = F.slice("types", i + 1, width)
-        slots = F.when(
-            F.col("typed") & F.exists(some, lambda t: t > 0),
-            F.zip_with(
-                F.slice("words", i + 1, width),
-                some,
-                lambda w, t: F.when(t > 0, F.concat_ws(":", t.cast("string"), w)),
-            ),
-        )
-        return F.struct(
-            i.alias("at"), F.xxhash64(F.slice("codes", i + 1, width)).alias("hash"), slots.alias("slots")
-        )
+        return _rows(i, width, F.col("typed"))
 
     return found.where(F.col("size") >= least).select(
-        *key, width.alias("n"), F.explode(F.transform(places, window)).alias("w")
+        *key, width.alias("n"), F.explode(F.flatten(F.transform(places, window))).alias("w")
     ).select(*key, "n", "w.at", "w.hash", "w.slots")
 
 
@@ -189,17 +227,18 @@ def matched(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("item"),
         "text",
     )
-    plain = stored(templates(numbered, ["item_id", "item"]), "templates")
+    names, others = vocabulary(benchmark)
+    plain = stored(templates(numbered, ["item_id", "item"], names, others), "templates")
     items = stored(windows(plain, ["item_id", "item"], short=True), "items")
     keyed = _seeded(keyed, plain)
-    totals = items.groupBy("item").agg(F.count("*").alias("n_windows"))
+    totals = items.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
     few = items.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     right = items.select(
         "item_id", "item", F.col("n").alias("item_n"), F.col("at").alias("item_at"), "hash",
         F.col("slots").alias("item_slots"),
     )
     shapes = [r["n"] for r in items.select("n").distinct().collect()]  # at most WINDOW sizes
-    texts = stored(templates(keyed, ["doc_id", "text_hash"]), "texts")
+    texts = stored(templates(keyed, ["doc_id", "text_hash"], names, others), "texts")
     left = windows(texts, ["doc_id", "text_hash"], short=False)
     for n in sorted(set(shapes) - {WINDOW}):
         left = left.unionByName(_sized(texts, n))
@@ -248,25 +287,14 @@ def _sized(texts: DataFrame, n: int) -> DataFrame:
     codes = F.zip_with(
         "words", "types", lambda w, t: F.when(t == 0, F.xxhash64(w)).otherwise(t.cast("long"))
     )
-    texts = texts.where(F.size("words") >= n).select("*", codes.alias("codes"))
-
-    def window(i: Column) -> Column:
-        some = F.slice("types", i + 1, F.lit(n))
-        slots = F.zip_with(
-            F.slice("words", i + 1, F.lit(n)),
-            some,
-            lambda w, t: F.when(t > 0, F.concat_ws(":", t.cast("string"), w)),
-        )
-        return F.struct(
-            i.alias("at"),
-            F.xxhash64(F.slice("codes", i + 1, F.lit(n))).alias("hash"),
-            F.when(F.exists(some, lambda t: t > 0), slots).alias("slots"),
-        )
-
+    texts = texts.where(F.size("words") >= n).select(
+        "*", codes.alias("codes"), F.transform("words", lambda w: F.xxhash64(w)).alias("plain")
+    )
     places = F.sequence(F.lit(0), F.size("words") - n)
-    return texts.select(
-        "doc_id", "text_hash", F.lit(n).alias("n"), F.explode(F.transform(places, window)).alias("w")
-    ).select("doc_id", "text_hash", "n", "w.at", "w.hash", "w.slots")
+    rows = F.flatten(F.transform(places, lambda i: _rows(i, F.lit(n), F.lit(True))))
+    return texts.select("doc_id", "text_hash", F.lit(n).alias("n"), F.explode(rows).alias("w")).select(
+        "doc_id", "text_hash", "n", "w.at", "w.hash", "w.slots"
+    )
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

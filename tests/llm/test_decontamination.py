@@ -59,3 +59,16 @@ def test_stage_and_query(spark, written, documents):
 
 def test_no_items(spark):
     assert found(spark, DOCS, [(1, None)]) == []
+
+
+def test_case_and_punctuation_do_not_hide_a_copy(spark):
+    text = "Anna met Peter in Paris. Then Anna, who had 5 apples, gave Peter 3 apples. How many has Anna?"
+    copies = [
+        text, text.lower(), text.upper(), text.title(), text.translate(str.maketrans("", "", ".,;:!?")),
+        text.replace(" ", "\n"), text.replace(". ", " "),
+    ]
+    other = "Maria met Tom in Rome. Then Maria, who had 8 apples, gave Tom 2 apples. How many has Maria?"
+    rows = [(k, c) for k, c in enumerate(copies)]
+    rows += [(10, other), (11, other.title()), (12, other.replace(".", ""))]
+    got = {(r.doc_id, r.reparameterised) for r in found(spark, rows, [(1, text)])}
+    assert got == {(k, False) for k in range(len(copies))} | {(k, True) for k in (10, 11, 12)}
