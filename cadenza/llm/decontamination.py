@@ -15,9 +15,10 @@ Only DataFrame functions are used.
    fewer than that, need no seed; if another one has none, all documents are cut.
 3. Matches of one document and item on one diagonal (document position minus item position) belong
    together. They count if they cover ``COVERED`` windows, or all windows of the item.
-4. Slots: the words behind the placeholders of a diagonal must map one to one, each value of the
-   item to one value in the document and back. A document with other values but consistent slots is
-   a re-parameterised copy; one with inconsistent slots only shares a template and is no match.
+4. Slots: windows that are equal word for word count by themselves. Where templates are needed to
+   cover the item, the words behind the placeholders of a diagonal must map one to one, each value of
+   the item to one value in the document and back. A document with other values but consistent slots
+   is a re-parameterised copy; with inconsistent slots only the equal windows count.
 
 Result: doc_id, item_id, n_matched, n_windows (of the item), reparameterised, one row for each
 document and item that match. Cases: missing and empty texts and items match nothing; an item
@@ -251,7 +252,11 @@ def matched(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         "hits",
     )
     group = ["doc_id", "text_hash", "item_id", "item", "diagonal"]
-    counted = hits.groupBy(*group).agg(F.countDistinct("item_at").alias("n_matched"))
+    # The rows of plain words have no slots.
+    counted = hits.groupBy(*group).agg(
+        F.countDistinct("item_at").alias("n_all"),
+        F.countDistinct(F.when(F.col("slots").isNull(), F.col("item_at"))).alias("n_equal"),
+    )
     values = (
         hits.where("slots is not null")
         .select(*group, F.explode(F.arrays_zip("slots", "item_slots")).alias("v"))
@@ -270,14 +275,16 @@ def matched(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     slots = slots.withColumnsRenamed({c: f"_{c}" for c in group})
     return (
         counted.join(totals, "item")
-        .where(F.col("n_matched") >= F.least(F.lit(COVERED), F.col("n_windows")))
         .join(slots, on, "left")
-        .where(F.coalesce("consistent", F.lit(True)))
+        .withColumn("consistent", F.coalesce("consistent", F.lit(True)))
+        .withColumn("n_matched", F.when(F.col("consistent"), F.col("n_all")).otherwise(F.col("n_equal")))
+        .withColumn("changed", F.col("consistent") & F.coalesce("changed", F.lit(False)))
+        .where(F.col("n_matched") >= F.least(F.lit(COVERED), F.col("n_windows")))
         .groupBy("doc_id", "text_hash", "item_id", "item")
         .agg(
             F.max("n_matched").alias("n_matched"),
             F.first("n_windows").alias("n_windows"),
-            F.min(F.coalesce("changed", F.lit(False))).alias("reparameterised"),
+            F.min("changed").alias("reparameterised"),
         )
     )
 

@@ -72,3 +72,20 @@ def test_case_and_punctuation_do_not_hide_a_copy(spark):
     rows += [(10, other), (11, other.title()), (12, other.replace(".", ""))]
     got = {(r.doc_id, r.reparameterised) for r in found(spark, rows, [(1, text)])}
     assert got == {(k, False) for k in range(len(copies))} | {(k, True) for k in (10, 11, 12)}
+
+
+def test_one_edited_value_does_not_hide_equal_windows(spark):
+    text = (
+        "a shop has 12 red pens and 7 blue pens on a shelf near the door where people walk by every "
+        "single morning and later that day the owner counts all of them again and finds 12 red pens left"
+    )
+    rows = [
+        (1, text), (2, text.replace("finds 12", "finds 13")), (3, text.replace("and 7", "and 12")),
+        (4, "a shop has 5 red pens and 7 blue pens and finds 12 red pens left"),
+    ]
+    got = {r.doc_id: r for r in found(spark, rows, [(1, text)])}
+    assert set(got) == {1, 2, 3}
+    whole = got[1].n_windows
+    assert got[1].n_matched == whole == len(text.split()) - 7
+    assert got[2].n_matched == whole - 4 and got[3].n_matched == whole - 8
+    assert not any(r.reparameterised for r in got.values())
