@@ -18,8 +18,11 @@ A key hashes to a bucket; a bucket's displacement sends each of its keys to a sl
 there are as many slots as keys. A lookup reads one displacement and one slot, whatever the size.
 A key that is not there finds another key's fingerprint (a false hit has a chance of 2^-32).
 
+A key's documents may fill several shards, in a row; each indexes those it holds, and a lookup asks
+every shard.
+
 Cases: missing and empty texts have the end id alone; repeated keys are kept, next to each other,
-ordered by text; missing keys are kept and come first, and only scans return them; an empty table
+ordered by the first ``PREFIX`` characters of the text, then by its hash; missing keys are kept and come first, and only scans return them; an empty table
 gives no shard and no row; other columns are ignored.
 """
 
@@ -41,6 +44,7 @@ from cadenza.llm.common import for_workers, mix, numbers, shared_path, table, wh
 END_ID = 2
 #: A shard closes at this many payload bytes or documents.
 SHARD_BYTES, SHARD_DOCS = 8 << 20, 1 << 16
+PREFIX = 64
 #: Encoded words a worker remembers before it starts over.
 CACHE_WORDS = 600_000
 
@@ -211,15 +215,25 @@ class _Shard:
 def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Encode every document and write the shard files, in ascending key order.
 
-    Documents are dealt by ranges of the key before they are encoded (one shuffle, of the texts), so
-    a task meets its keys in order and holds one shard at a time.
+    Documents are dealt by ranges of the key, text and copy before they are encoded (one shuffle, of
+    the texts), so a task meets its keys in order and holds one shard at a time, and the rows of one
+    key, or without one, are spread over tasks and shards.
     """
     spark = documents.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    order = ["doc_id", "prefix", "hash", "copy"]
     dealt = (
         whole_texts(documents)
-        .repartitionByRange(n, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .select(
+            "doc_id",
+            F.substring("text", 1, PREFIX).alias("prefix"),
+            F.xxhash64("text").alias("hash"),
+            F.monotonically_increasing_id().alias("copy"),
+            "text",
+        )
+        .repartitionByRange(n, *order)
+        .sortWithinPartitions(*order)
+        .select("doc_id", "text")
     )
     schema = pa.schema(
         [(f, pa.int32()) for f in ("part", "shard")]
@@ -238,8 +252,7 @@ def write_files(documents: DataFrame, path: str, tokenizer: str, end_id: int = E
             for k, text in enumerate(batch.column("text")):
                 payload = encoder.encode(text.as_buffer().to_pybytes()) + end
                 full = shard.size + len(payload) > SHARD_BYTES or len(shard.lengths) >= SHARD_DOCS
-                # A key's documents stay in one shard, and a shard that is full waits for that.
-                if full and shard.lengths and ids[k] != shard.keys[-1][0]:
+                if full and shard.lengths:
                     yield pa.RecordBatch.from_pylist([shard.row()], schema)
                     shard = _Shard(part, shard.number + 1)
                 shard.keys.append(ids[k : k + 1])

@@ -55,3 +55,22 @@ def test_index_is_minimal_and_perfect(n):
     assert there.all() and (record == np.arange(n)).all()
     there, *_ = tf.find(keys + (1 << 41), seeds.astype("<i4").tobytes(), slots.tobytes())
     assert there.sum() <= 1
+
+
+def test_one_key_fills_many_shards_of_many_tasks(spark, documents, monkeypatch):
+    monkeypatch.setattr(tf, "SHARD_BYTES", 1000)
+    path, tokenizer = shared_path(spark, "files"), tf.default_tokenizer()
+    rows = [(key, f"{k} " + "word " * 100) for key in (None, 7) for k in range(60)]
+    rows += [(7, "same " * 100)] * 60
+    tf.write_files(documents(*rows), path, tokenizer)
+    files = spark.read.schema(tf.FILES).parquet(path)
+    shards = files.select("part", "shard", "n_docs", "n_null", "payload").collect()
+    assert max(len(r.payload) for r in shards) <= 1000
+    # Repeated keys and repeated rows of one key go to both tasks.
+    assert {r.part for r in shards if r.n_docs > r.n_null} == {0, 1}
+    got = tf.read_files(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 60 + [7] * 120
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got[:-1])]).tolist()
+    encoder = tf.WordEncoder(tokenizer)
+    want = sorted(encoder.encode(text.encode()) + b"\x02\x00" for key, text in rows if key == 7)
+    assert sorted(bytes(r.ids) for r in tf.lookup(spark, path, [7]).collect()) == want
