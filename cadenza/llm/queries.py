@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and the DuckDB counterparts of those that SQL can express."""
+"""Registered queries of the operators, and the DuckDB counterparts of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import (
-    decontamination, jaccard, lm, pieces, quality, repeats, secrets, token_files, topk, toxicity,
+    byte_pairs, decontamination, jaccard, lm, pieces, quality, repeats, secrets, token_files, topk,
+    toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_topk": topk.op6,
     "op7_token_files": token_files.op7,
     "op10_quality": quality.op10,
+    "op13_byte_pairs": byte_pairs.op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
