@@ -273,6 +273,26 @@ def text_slices(
         low = high
 
 
+def cut_slices(
+    texts: pa.Array, cuts: np.ndarray, size: int = SLICE_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) like ``text_slices``, but a row of far more than ``size`` bytes
+    comes in several parts, each ending behind a byte that ``cuts`` (256 flags) names."""
+    for low, _, data, offsets in text_slices(texts, size):
+        if len(offsets) > 2 or len(data) <= 2 * size:
+            yield low, data, offsets
+            continue
+        begin = 0
+        while begin < len(data):
+            end = begin + size
+            while end < len(data) and not cuts[data[end - 1]]:
+                near = np.flatnonzero(cuts[data[end : end + size]])
+                end += int(near[0]) + 1 if len(near) else size
+            end = min(end, len(data))
+            yield low, data[begin:end], np.array([0, end - begin])
+            begin = end
+
+
 def lowered(data: np.ndarray) -> np.ndarray:
     """A-Z as a-z."""
     return _LOWER[data]
