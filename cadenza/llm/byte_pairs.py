@@ -51,35 +51,35 @@ QUERY_ROWS = 1 << 20
 #: Ids that one decoding query takes.
 DECODE_IDS = 1 << 20
 SEGMENT = 1 << 20
-CACHE_STRETCHES = 400_000
+CACHE_STRETCHES = 300_000
 
 _CUT = re.compile(r"(?<=\S) ")
 _UNEVEN = re.compile(r"\s ")
 
-# nxt is the token behind, -1 at the end of a piece; best is (rank, position) of the pair to contract.
-# The pair's first row goes, its second becomes the new token; rows behind move up by one.
+# place is piece << 32 | position, pair is token << 32 | next token (all ones at the end of a piece).
+# Each piece's pair of least rank, then position, is contracted: its first row goes, its second
+# becomes the new token, and rows behind move up by one.
 _SHORT = """
-with recursive state(piece, pos, tok, nxt, live) as (
-    select piece, pos, tok, nxt, true from fresh
+with recursive state(place, pair, live) as (
+    select piece::bigint << 32 | pos, tok::bigint << 32 | (nxt::bigint & 4294967295), true from fresh
     union all (
-    with pairs as (
-        select s.piece, s.pos, s.tok, s.nxt, m.id
-        from state s left join merges m on m.pair = (s.tok::bigint << 32 | s.nxt::bigint)
-        where s.live and s.nxt >= 0
-        union all
-        select piece, pos, tok, nxt, null from state where live and nxt < 0
+    with least as (
+        select s.place >> 32 as piece, min(m.id::bigint << 32 | (s.place & 4294967295)) as best
+        from state s join merges m on m.pair = s.pair
+        where s.live group by 1
     ),
-    least as (select piece, min(id::bigint << 32 | pos) as best from pairs group by piece),
-    chosen as (select piece, (best >> 32)::int as id, (best & 4294967295)::int as at from least)
-    select p.piece,
-           case when p.pos > c.at then p.pos - 1 else p.pos end,
-           case when p.pos = c.at + 1 then c.id else p.tok end,
-           case when p.pos = c.at - 1 then c.id else p.nxt end,
+    chosen as (
+        select piece, piece << 32 | (best & 4294967295) as at, best >> 32 as id from least
+    )
+    select case when s.place > c.at then s.place - 1 else s.place end,
+           case when s.place = c.at + 1 then c.id << 32 | (s.pair & 4294967295)
+                when s.place = c.at - 1 then (s.pair >> 32) << 32 | c.id
+                else s.pair end,
            c.at is not null
-    from pairs p join chosen c on c.piece = p.piece
-    where c.at is null or p.pos <> c.at)
+    from state s left join chosen c on c.piece = s.place >> 32
+    where s.live and (c.at is null or s.place <> c.at))
 )
-select piece, pos, tok from state where not live order by piece, pos
+select (place >> 32)::int as piece, (pair >> 32)::int as tok from state where not live order by place
 """
 
 # Pairs of equal tokens overlap in a run: from its start, every other one is contracted.
@@ -156,6 +156,7 @@ class BytePairs:
                    bytes=pa.array([t.decode("latin-1") for t in ranks]))
         self.known: dict[str, bytes] = {}
         self.starts: dict[str, bytes] = {}
+        self.merged: dict[str, bytes] = {}
 
     def _make(self, name: str, **columns: pa.Array) -> None:
         self.con.register("given_table", pa.table(columns))
@@ -230,10 +231,28 @@ class BytePairs:
         return self.pattern.findall(text)
 
     def _learn(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(t) for t in texts]
-        new = list({p for pieces in cut for p in pieces})
-        ids = dict(zip(new, self.merge([p.encode() for p in new])))
-        return [b"".join([ids[p] for p in pieces]) for pieces in cut]
+        """Ids of stretches: those without line ends are cut in one go, a line for each."""
+        lines = [
+            k for k, t in enumerate(texts)
+            if "\n" not in t and not t[1:2].isspace() and not t[-1:].isspace()
+        ]
+        cut = self.pieces("\n".join([texts[k] for k in lines]))
+        ends = [k for k, p in enumerate(cut) if p == "\n"] + [len(cut)]
+        found: list[list[str]] = [[]] * len(texts)
+        if len(ends) == len(lines):
+            for k, low, high in zip(lines, [0, *(e + 1 for e in ends)], ends):
+                found[k] = cut[low:high]
+        rest = set(range(len(texts))).difference(lines if len(ends) == len(lines) else ())
+        for k in rest:
+            found[k] = self.pieces(texts[k])
+        new = {p for pieces in found for p in pieces}.difference(self.merged)
+        if len(self.merged) + len(new) > CACHE_STRETCHES:
+            self.merged.clear()
+            new = {p for pieces in found for p in pieces}
+        fresh = list(new)
+        self.merged.update(zip(fresh, self.merge([p.encode() for p in fresh])))
+        ids = self.merged.__getitem__
+        return [ids(p[0]) if len(p) == 1 else b"".join(map(ids, p)) for p in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit integers."""
@@ -261,8 +280,8 @@ class BytePairs:
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each sequence of ids."""
-        lengths = np.array([len(i) for i in ids])
-        flat = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
+        lengths = np.array([len(i) for i in ids], np.int64)
+        flat = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64)
         first = np.cumsum(lengths) - lengths
         rows = pa.table(
             {
