@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.llm import (
-    byte_pairs, decontamination, jaccard, lexical, lm, pieces, quality, repeats, secrets,
-    token_files, topk, toxicity,
+    byte_pairs, collocations, decontamination, jaccard, lexical, lm, pieces, quality, repeats,
+    secrets, token_files, topk, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_topk": topk.op6,
     "op7_token_files": token_files.op7,
     "op10_quality": quality.op10,
+    "op11_collocations": collocations.op11,
     "op12_lexical": lexical.op12,
     "op13_byte_pairs": byte_pairs.op13,
 }
@@ -30,5 +31,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_jaccard": jaccard.ORACLE,
     "op5_repeats": repeats.ORACLE,
     "op6_topk": topk.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_lexical": lexical.ORACLE,
 }
