@@ -152,6 +152,73 @@ def overlapping_periods(users: DataFrame, seconds: int = CHUNK_SECONDS) -> DataF
     ).select("userId", "_period.*")
 
 
+_LEVELS = 38  # aligned intervals of 1, 2, 4 ... seconds, up to more than 8,000 years
+
+
+def _second(micros: str, up: bool = False) -> Column:
+    """Whole seconds since the year 1, cut or rounded up."""
+    return F.expr(f"({micros} + 62135596800000000{' + 999999' if up else ''}) div 1000000")
+
+
+def _aligned(users: DataFrame) -> DataFrame:
+    """Each period as the aligned intervals (level, number) that make up its seconds: at most two of
+    each length, so their number grows with the logarithm of the period. Its first and last second
+    may be covered in part."""
+    begin = _second("unix_micros(_period.start_time)")
+    end = _second("unix_micros(_period.end_time)", up=True)
+    spans = _periods(users).withColumns({"_begin": begin, "_end": end})
+    # What is left of the span in whole intervals of a level: an odd end belongs to no longer one.
+    parts = F.expr(f"""
+        flatten(transform(sequence(0, {_LEVELS}), level -> transform(
+            filter(
+                array(
+                    struct((_begin + shiftleft(1L, level) - 1) div shiftleft(1L, level) as number, 0 as side),
+                    struct(_end div shiftleft(1L, level) - 1 as number, 1 as side)
+                ),
+                p -> (_begin + shiftleft(1L, level) - 1) div shiftleft(1L, level)
+                        < _end div shiftleft(1L, level)
+                    and p.number % 2 = 1 - p.side
+            ),
+            p -> struct(level, p.number as number)
+        )))""")
+    return spans.select("userId", "_period", F.explode(parts).alias("_at")).select(
+        "userId", "_period", F.col("_at.level").alias("_level"), F.col("_at.number").alias("_number")
+    )
+
+
+def _attach_overlapping(plays: DataFrame, users: DataFrame) -> DataFrame:
+    """Every version that covers a play. A play lies in one aligned interval of each length, and of
+    those that make up a period in one at most: equal intervals join, then the exact bounds decide.
+    Levels that no period uses are not tried. A hot user is spread over the intervals; the few of
+    the longest levels, which all plays share, are left to AQE's skew join."""
+    index = _aligned(users)
+    levels = sorted(r[0] for r in index.select("_level").distinct().collect())  # at most 39
+    nobody = F.lit(None).cast("string").alias("user_key")
+    if not levels:
+        return plays.select("*", nobody)
+    known = plays.filter(F.col("userId").isNotNull() & F.col("ts").isNotNull())
+    second = _second("unix_micros(ts)")
+    chain = F.array(
+        *[
+            F.struct(F.lit(n).alias("level"), F.shiftright(second, n).alias("number"))
+            for n in levels
+        ]
+    )
+    tried = known.select(*plays.columns, F.explode(chain).alias("_at")).select(
+        *plays.columns, F.col("_at.level").alias("_level"), F.col("_at.number").alias("_number")
+    )
+    at = F.col("ts")
+    covers = (at >= F.col("_period.start_time")) & (at < F.col("_period.end_time"))
+    found = (
+        tried.join(index, ["userId", "_level", "_number"])
+        .filter(covers)
+        .select(*plays.columns, F.col("_period.user_key").alias("user_key"))
+    )
+    covered = found.select("userId", "ts").distinct()
+    alone = plays.join(covered, ["userId", "ts"], "left_anti")
+    return found.unionByName(alone.select(*plays.columns, nobody))
+
+
 def _periods(users: DataFrame) -> DataFrame:
     valid = lookup(users, "user_key", "user_id", "start_time", "end_time").filter(
         F.col("user_id").isNotNull() & (F.col("start_time") < F.col("end_time"))
@@ -175,18 +242,12 @@ def attach_user(
     by then, so plays and period starts are merged on one time line per user: work is linear even if
     a single user owns a third of the plays and changes at each of them, where an interval join
     would compare every play with every version. ``disjoint=None`` looks for overlaps first; with
-    overlaps the interval join is used, and each play meets all the versions that cover it.
+    overlaps each play meets all the versions that cover it, found by an index of aligned intervals.
     """
     if disjoint is None:
         disjoint = overlapping_periods(users, seconds).isEmpty()
     if not disjoint:
-        versions = lookup(users, "user_key", "user_id", "start_time", "end_time")
-        covers = (
-            (F.col("userId") == F.col("user_id"))
-            & (F.col("ts") >= F.col("start_time"))
-            & (F.col("ts") < F.col("end_time"))
-        )
-        return plays.join(versions, covers, "left").drop("user_id", "start_time", "end_time")
+        return _attach_overlapping(plays, users)
 
     starts = with_chunk(_periods(users), "ts", seconds)
     listens = plays if CHUNK in plays.columns else _play_chunks(plays, seconds)

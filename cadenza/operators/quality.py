@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cadenza.functions.clock import seconds_between
+from cadenza.operators.digests import BUCKET, compared, fingerprints, in_buckets
 from cadenza.operators.marts import (
     AUDIT, FOREIGN_KEYS, LOADER, Dimension, bad_keys, unknown_member,
 )
@@ -82,20 +83,39 @@ def bad_audit(marts: dict[str, DataFrame], loader: str = LOADER) -> DataFrame:
     return _counted(reduce(DataFrame.unionByName, found), ["model_name"])
 
 
-def difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows whose number of copies differs, with ``surplus`` copies on the left (negative: right).
+def _in_unequal(df: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows of the buckets that differ. Broadcast: at most BUCKETS numbers."""
+    unequal = groups.filter(~F.col("equal")).select(BUCKET)
+    return in_buckets(df, df.columns).join(F.broadcast(unequal), BUCKET, "left_semi").drop(BUCKET)
 
-    EXCEPT ALL both ways as one grouped count: one shuffle, copies merged before it, and exact -
-    no hashing, and a lost duplicate counts.
-    """
+
+def _by_bucket(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Buckets of rows by hash, with the rows of both sides and whether their fingerprints agree."""
+    prints = [fingerprints(in_buckets(s, s.columns), s.columns, [BUCKET]) for s in (left, right)]
+    return compared(*prints, [BUCKET])
+
+
+def _surplus(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows whose number of copies differs, by one grouped count."""
     names = left.columns
     sides = left.withColumn("_copies", F.lit(1)).unionByName(
-        right.select(*names).withColumn("_copies", F.lit(-1))
+        right.withColumn("_copies", F.lit(-1))
     )
     counted = sides.groupBy(*names).agg(F.sum("_copies").cast("bigint").alias("surplus"))
     return counted.filter(F.col("surplus") != 0)
 
 
+def difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows whose number of copies differs, with ``surplus`` copies on the left (negative: right).
+
+    EXCEPT ALL both ways. Fingerprints of buckets are compared first, so that of equal tables no row
+    is shuffled; rows of buckets that differ are then counted exactly, and a lost duplicate counts.
+    """
+    right = right.select(*left.columns)
+    groups = _by_bucket(left, right)
+    return _surplus(_in_unequal(left, groups), _in_unequal(right, groups))
+
+
 FACT_KEPT = [
     "play_key", "user_id", "session_id", "item_in_session", "play_started_at", "play_ended_at",
     "listened_seconds",
@@ -150,34 +170,32 @@ def schema_differences(source: DataFrame, target: DataFrame) -> dict[str, tuple]
 
 
 def reconcile_rows(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Q12: full rows with multiplicity, one grouped count for both directions and both totals."""
+    """Q12: full rows with multiplicity: totals from the fingerprints of buckets, missing and extra
+    rows from an exact count within those that differ."""
     differences = schema_differences(source, target)
     names = ", ".join(differences)
     if set(source.columns) <= set(target.columns):
-        columns = source.columns
         # Columns of another type meet as text; the type itself is already reported.
-        as_text = [c for c in columns if c in differences]
-        sides = [
+        old, new = (
             side.select(
-                *[F.col(c).cast("string").alias(c) if c in as_text else F.col(c) for c in columns],
-                F.lit(here).alias("_source"),
-                F.lit(1 - here).alias("_target"),
+                *[F.col(c).cast("string").alias(c) if c in differences else c
+                  for c in source.columns]
+            )
+            for side in (source, target)
+        )
+        groups = _by_bucket(old, new)
+        surplus = _surplus(_in_unequal(old, groups), _in_unequal(new, groups)).agg(
+            F.struct(
+                F.sum(F.greatest("surplus", F.lit(0))).alias("missing_rows"),
+                F.sum(F.greatest(-F.col("surplus"), F.lit(0))).alias("extra_rows"),
             )
-            for side, here in ((source, 1), (target, 0))
-        ]
-        counted = sides[0].unionByName(sides[1]).groupBy(*columns).agg(
-            F.sum("_source").alias("s"), F.sum("_target").alias("t")
         )
-        missing = F.sum(F.greatest(F.col("s") - F.col("t"), F.lit(0)))
-        extra = F.sum(F.greatest(F.col("t") - F.col("s"), F.lit(0)))
-        totals = counted.agg(
-            *[
-                F.coalesce(v, F.lit(0)).cast("bigint").alias(n)
-                for n, v in {
-                    "source_rows": F.sum("s"), "target_rows": F.sum("t"),
-                    "missing_rows": missing, "extra_rows": extra,
-                }.items()
-            ]
+        totals = groups.agg(
+            F.sum("left_rows").alias("source_rows"), F.sum("right_rows").alias("target_rows")
+        ).select("*", surplus.scalar().alias("_found"))
+        totals = totals.select("source_rows", "target_rows", "_found.*")
+        totals = totals.select(
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in totals.columns]
         )
     else:
         # Rows cannot be compared without the columns: counts only.
@@ -197,18 +215,34 @@ def reconcile_rows(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
+def unmatched_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Q13: files that only the lake or only the ledger names: file_path and side."""
+    loaded = ledger.filter(F.col("status") == "SUCCESS").select("file_path").distinct()
+    there = inventory.select("file_path").distinct()
+    not_loaded = there.join(loaded, "file_path", "left_anti").withColumn("side", F.lit("lake"))
+    vanished = loaded.join(there, "file_path", "left_anti").withColumn("side", F.lit("ledger"))
+    return not_loaded.unionByName(vanished)
+
+
 def reconcile_files(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     """Q13: committed files against ledger successes, one row. Sizes are compared where the ledger
     side carries them."""
-    loaded = ledger.filter(F.col("status") == "SUCCESS").select("file_path").distinct()
-    not_loaded = inventory.select("file_path").distinct().join(loaded, "file_path", "left_anti")
-    vanished = loaded.join(inventory.select("file_path"), "file_path", "left_anti")
-    one = F.count(F.lit(1))
+    loaded = ledger.filter(F.col("status") == "SUCCESS")
+    sides = unmatched_files(inventory, ledger).agg(
+        F.struct(
+            F.count_if(F.col("side") == "lake").alias("lake"),
+            F.count_if(F.col("side") == "ledger").alias("ledger"),
+        )
+    )
     row = inventory.agg(F.count_distinct("file_path").alias("source_files")).select(
         "source_files",
-        loaded.agg(one).scalar().alias("ledger_files"),
-        not_loaded.agg(one).scalar().alias("files_missing_from_ledger"),
-        vanished.agg(one).scalar().alias("ledger_files_absent_from_source"),
+        loaded.agg(F.count_distinct("file_path")).scalar().alias("ledger_files"),
+        sides.scalar().alias("_only"),
+    ).select(
+        "source_files",
+        "ledger_files",
+        F.col("_only.lake").alias("files_missing_from_ledger"),
+        F.col("_only.ledger").alias("ledger_files_absent_from_source"),
     )
     return row.select(
         "*",

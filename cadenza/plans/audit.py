@@ -6,49 +6,32 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cadenza.operators import quality
 from cadenza.sources import lake
-from cadenza.sources.landing import landing_table, read_files, read_ledger
+from cadenza.sources.landing import landing_table, read_ledger
 from cadenza.streaming.sink import PARTITIONS
 
 
-def file_sizes(spark: SparkSession, topic_dir: str) -> DataFrame:
-    """Paths and lengths as they are in the folders now; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(f"{topic_dir}/{PARTITIONS[0]}=*")
-    )
-    return files.select(lake.plain_path(F.col("path")).alias("file_path"), "length")
-
-
-def wrong_sizes(inventory: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Committed files that are gone or have another length than the log says."""
-    found = inventory.join(sizes, "file_path", "left")
-    return found.filter(F.col("length").isNull() | (F.col("length") != F.col("size")))
-
-
-def committed_rows(spark: SparkSession, topic_dir: str, logs: DataFrame, topic: str) -> DataFrame:
+def committed_rows(spark: SparkSession, topic_dir: str) -> DataFrame:
     """Rows of the committed files with the columns the files hold, not those of folder names."""
-    one = lake.committed_files(logs, topic).select("uri").first()
-    columns = read_files(spark, [one["uri"]]).columns
-    return spark.read.option("mergeSchema", "true").parquet(topic_dir).select(*columns)
+    rows = spark.read.option("mergeSchema", "true").parquet(topic_dir)
+    return rows.drop(*PARTITIONS)
 
 
 def audit_topic(spark: SparkSession, lake_dir: str, warehouse: str, topic: str) -> DataFrame:
-    """One row. Unsound logs and files of another size are errors, as is a lake that changes
-    meanwhile: then nothing is concluded."""
+    """One row. A topic without a commit log and files of another size are errors, as is a lake that
+    changes meanwhile: then nothing is concluded."""
     topic_dir = f"{lake_dir}/{topic}"
-    listed = lake.log_names(spark, topic_dir)
-    files = lake.audit_inventory(spark, topic_dir, topic)
-    wrong = wrong_sizes(files, file_sizes(spark, topic_dir)).first()
+    before = lake.commit_state(spark, topic_dir)
+    files = lake.inventory(spark, topic_dir, topic)
+    wrong = lake.wrong_sizes(files, lake.file_lengths(spark, topic_dir)).first()
     if wrong:
         raise ValueError(f"file differs from its commit log: {wrong['file_path']}")
-    source = committed_rows(spark, topic_dir, lake.read_logs(spark, topic_dir), topic)
+    source = committed_rows(spark, topic_dir)
     rows = quality.reconcile_rows(source, landing_table(spark, warehouse, topic))
     ledger = read_ledger(spark, warehouse).filter(F.col("topic") == topic)
     named = quality.reconcile_files(files, ledger).withColumnRenamed("passed", "files_passed")
     found = {**rows.first().asDict(), **named.first().asDict()}
     found["passed"] = found["passed"] and found.pop("files_passed")
-    if lake.log_names(spark, topic_dir) != listed:
+    if lake.commit_state(spark, topic_dir) != before:
         raise ValueError(f"the lake changed while {topic} was audited; run again")
     schema = T.StructType([T.StructField("topic", T.StringType()), *rows.schema, *named.schema])
     kept = T.StructType([f for f in schema if f.name != "files_passed"])

@@ -6,6 +6,7 @@ Statements are built from named steps; each query takes the steps it needs, depe
 from __future__ import annotations
 
 from cadenza.functions.keys import NULL_MARKER
+from cadenza.operators import declared
 from cadenza.operators.marts import LOADER
 from cadenza.plans.registered import (
     CUTOFF, END, GENDERS, NEXT_RUN_TS, RUN_TS, START, STATES,
@@ -336,10 +337,71 @@ def _reconcile(left: str, right: str, columns: str) -> str:
         (SELECT count(*) FROM (SELECT {columns} FROM {right} EXCEPT ALL SELECT {columns} FROM {left})) AS extra_rows)"""
 
 
+def _decoded(topic: str) -> str:
+    changed = {"ts": "make_timestamp_ms(ts) AS ts", "sessionId": "CAST(sessionId AS BIGINT) AS sessionId"}
+    fields = ", ".join(changed.get(c, c) for c in EVENT_SCHEMAS[topic].fieldNames())
+    parts = ", ".join(
+        f"CAST({p}(make_timestamp_ms(ts)) AS INTEGER) AS {p}" for p in ("year", "month", "day", "hour")
+    )
+    return f"""SELECT '{topic}' AS topic, "partition", "offset", make_timestamp_ms(ts) AS kafka_timestamp,
+        {fields}, {parts}, CAST(ts AS BIGINT) AS raw_ts, city AS raw_city FROM land_{topic}"""
+
+
+def _bundle(source: str) -> str:
+    figures = ["plays", "listeners", "songs", "known_seconds", "duration_missing", "unknown_location",
+               "unknown_song", "unknown_gender"]
+    names = ", ".join(f"'{f}'" for f in figures)
+    values = ", ".join(f"CAST({f} AS DOUBLE)" for f in figures)
+    return f"""
+        SELECT 'summary' AS report, unnest([{names}]) AS figure, unnest([{values}]) AS value
+            FROM ({_summary(source)})
+        UNION ALL BY NAME SELECT 'states' AS report, state, plays FROM ({_top_states(source)})
+        UNION ALL BY NAME SELECT 'songs' AS report, * FROM ({_top_songs(source)})
+        UNION ALL BY NAME SELECT 'gender_songs' AS report, * FROM ({_gender_songs(source)})
+        UNION ALL BY NAME SELECT 'hourly' AS report, * RENAME (known_seconds AS value) FROM ({_heatmap(source)})
+        UNION ALL BY NAME SELECT 'daily' AS report, * RENAME (hours AS value) FROM ({_daily(source)})
+        UNION ALL BY NAME SELECT 'artists' AS report, * FROM ({_top_artists(source)})"""
+
+
+_STEP_FOR = {"int_fact_song_play": "int_fact", "fact_song_play": "mart_fact"}
+
+
+def _sql_value(value) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value).upper()
+
+
+def _declared(checks) -> tuple[list[str], str]:
+    """Each check as a count of its own, a table's checks of single rows side by side."""
+    steps, parts, rows = [], [], {}
+    for check in checks:
+        step, column = _STEP_FOR.get(check.table, check.table), check.columns[0]
+        steps.append(step)
+        if check.kind == declared.UNIQUE:
+            columns = ", ".join(check.columns)
+            some = " OR ".join(f"{c} IS NOT NULL" for c in check.columns)
+            parts.append(f"""SELECT '{check.name}' AS name, count(*) AS violations FROM (
+                SELECT {columns} FROM {step} WHERE {some} GROUP BY ALL HAVING count(*) > 1)""")
+        elif check.kind == declared.REFERENCE:
+            parent, key = check.what
+            parent = _STEP_FOR.get(parent, parent)
+            steps.append(parent)
+            parts.append(f"""SELECT '{check.name}' AS name, count(DISTINCT {column}) AS violations
+                FROM {step} WHERE {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)""")
+        else:
+            wrong = {
+                declared.NOT_NULL: f"{column} IS NULL",
+                declared.ACCEPTED: f"{column} NOT IN ({', '.join(map(_sql_value, check.what))})",
+                declared.EXPRESSION: f"NOT ({check.what and check.what[0]})",
+            }[check.kind]
+            rows.setdefault(step, []).append((check.name, wrong))
+    for step, found in rows.items():
+        names = ", ".join(f"'{name}'" for name, _ in found)
+        counts = ", ".join(f"count(*) FILTER (WHERE {wrong})" for _, wrong in found)
+        parts.append(f"SELECT unnest([{names}]) AS name, unnest([{counts}]) AS violations FROM {step}")
+    return list(dict.fromkeys(steps)), " UNION ALL ".join(parts)
+
+
 _LANDED = ", ".join(f'"{c}"' for c in ["partition", "offset", *_PAGE_FIELDS])
-_WIRE_PAGE = ", ".join(
-    "make_timestamp_ms(ts) AS ts" if c == "ts" else c for c in _PAGE_FIELDS
-)
 _DAY_COUNTS = " UNION ALL ".join(
     f"""SELECT '{t}' AS topic, CAST(year(heard) AS INTEGER) AS year, CAST(month(heard) AS INTEGER) AS month,
         CAST(day(heard) AS INTEGER) AS day, count(*) AS n, count(DISTINCT userId) AS users
@@ -352,17 +414,13 @@ _BOARD_KEPT = "play_key, user_id, song_key, location_key, play_started_at, liste
 
 # name: (steps it reads, final SELECT)
 _FINAL: dict[str, tuple[list[str], str]] = {
-    "s2_decode": (["land_page_view_events"], f"""
-        SELECT 'page_view_events' AS topic, "partition", "offset", make_timestamp_ms(ts) AS kafka_timestamp,
-            {_WIRE_PAGE}, CAST(year(make_timestamp_ms(ts)) AS INTEGER) AS year,
-            CAST(month(make_timestamp_ms(ts)) AS INTEGER) AS month,
-            CAST(day(make_timestamp_ms(ts)) AS INTEGER) AS day,
-            CAST(hour(make_timestamp_ms(ts)) AS INTEGER) AS hour
-        FROM land_page_view_events"""),
+    "s2_decode": (_LAND, " UNION ALL BY NAME ".join(_decoded(t) for t in TOPICS)),
     "s4_stream_sink": (_LAND, _DAY_COUNTS),
     "s6_committed_files": (_LAND, " UNION ALL ".join(
         f"SELECT '{t}' AS topic, count(*) AS n FROM land_{t}" for t in TOPICS)),
-    "s7_ledger_new_files": ([], "SELECT 'loaded' AS state, TRUE AS some"),
+    "s7_ledger_new_files": (_LAND, " UNION ALL ".join(
+        f"SELECT '{t}' AS topic, count(*) AS n, '{'loaded' if t in TOPICS[:2] else 'pending'}' AS state "
+        f"FROM land_{t}" for t in TOPICS)),
     "s8_landing_rows": (_LAND, " UNION ALL ".join(
         f"""SELECT '{t}' AS topic, count(*) AS n, count(DISTINCT "offset") AS offsets FROM land_{t}"""
         for t in TOPICS)),
@@ -370,7 +428,10 @@ _FINAL: dict[str, tuple[list[str], str]] = {
         f"""SELECT '{t}' AS topic, count(*) AS first_run, CAST(0 AS BIGINT) AS second_run,
             CAST(1 AS BIGINT) AS loads FROM land_{t}""" for t in TOPICS)),
     "s10_inventory": (_LAND, " UNION ALL ".join(
-        f"SELECT '{t}' AS topic, count(*) > 0 AS holds_data FROM land_{t}" for t in TOPICS)),
+        f"""SELECT '{t}' AS topic, CAST(day(heard) AS INTEGER) AS day, count(*) AS n,
+            bool_or(month(heard) = 1 AND day(heard) BETWEEN 1 AND 3) AS wrong
+            FROM (SELECT make_timestamp_ms(ts) AS heard FROM land_{t}) GROUP BY ALL"""
+        for t in TOPICS)),
     "s11_keyed_messages": (["described"], """
         SELECT CASE WHEN k <> 97 THEN CAST(user_id AS VARCHAR) ELSE '' END AS key, count(*) AS n,
             CAST(sum(ts) AS BIGINT) AS ts_sum
@@ -440,6 +501,11 @@ _FINAL: dict[str, tuple[list[str], str]] = {
             count(*) = count(DISTINCT play_key) AS is_valid FROM int_fact"""),
     "m13_changed_rows": (["changed"], "SELECT * FROM changed"),
     "m14_upsert": (["upserted"], "SELECT * FROM upserted"),
+    "m15_schema_guard": (["mart_fact"], """
+        SELECT incoming, CASE WHEN column_name = '' THEN 'accepted'
+            ELSE 'schema of the stored fact differs in: ' || column_name END AS verdict, plays
+        FROM (SELECT count(*) AS plays FROM mart_fact), (VALUES ('as stored', ''),
+            ('without a column', 'song_key'), ('of another type', 'user_id')) v(incoming, column_name)"""),
     "r0_reader_guard": (["song_plays"], """
         SELECT count(*) AS row_count, count(DISTINCT play_key) AS key_count,
             count(*) = count(DISTINCT play_key) AS is_valid FROM song_plays"""),
@@ -468,12 +534,7 @@ _FINAL: dict[str, tuple[list[str], str]] = {
             plays / (SELECT count(*) FROM plays) AS share
         FROM (SELECT *, row_number() OVER (ORDER BY plays DESC, song, artist, song_key) AS place
             FROM ({_top_songs("plays")}))"""),
-    "r13_report_bundle": (["chosen"], " UNION ALL ".join(
-        f"SELECT '{name}' AS report, count(*) AS n FROM ({sql('chosen')})"
-        for name, sql in {
-            "summary": _summary, "states": _top_states, "songs": _top_songs,
-            "gender_songs": _gender_songs, "hourly": _heatmap, "daily": _daily,
-            "artists": _top_artists}.items())),
+    "r13_report_bundle": (["chosen"], _bundle("chosen")),
     "q1_not_null": (["int_fact"], "SELECT play_key, session_key FROM int_fact WHERE session_key IS NULL"),
     "q2_unique": (["int_fact"], """
         SELECT song_key, count(*) AS n FROM int_fact WHERE song_key IS NOT NULL
@@ -501,7 +562,14 @@ _FINAL: dict[str, tuple[list[str], str]] = {
         WHERE play_started_at >= {_ts(CUTOFF)}"""),
     "q9_fact_not_preserved": (["int_fact", "earlier_mart"], _cast_bigint(
         _surplus("int_fact", "earlier_mart", _FACT_KEPT), "surplus")),
-    "q10_bad_unknown_member": ([], "SELECT 'dim_location: missing/duplicate Unknown' AS problem"),
+    "q10_bad_unknown_member": (["int_dim_location", "dim_session", "int_dim_user"], """
+        SELECT problem, n FROM (
+            SELECT 'dim_location: missing/duplicate Unknown' AS problem,
+                CAST(count(*) FILTER (WHERE location_key = '-1') <> 1 AS BIGINT) AS n FROM int_dim_location
+            UNION ALL SELECT 'dim_session: wrong defaults', count(*) FROM dim_session
+                WHERE session_key = '-1' AND session_number <> 0
+            UNION ALL SELECT 'dim_user: reserved source key', count(*) FROM int_dim_user
+                WHERE user_id % 10 = 3) WHERE n > 0"""),
     "q11_dashboard_not_preserved": (["earlier_mart", "song_plays"], _cast_bigint(
         _surplus("earlier_mart", "song_plays", _BOARD_KEPT), "surplus")),
     "q12_reconcile_rows": (["land_page_view_events"], f"""
@@ -512,15 +580,22 @@ _FINAL: dict[str, tuple[list[str], str]] = {
             ", ".join(_PAGE_FIELDS))})"""),
     "q12_reconcile_lineitem": ([], _reconcile(
         "lineitem", """(SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN 'X' ELSE l_linestatus END
-            AS l_linestatus) FROM lineitem)""", "l_orderkey, l_quantity, l_returnflag, l_linestatus")),
-    "q13_reconcile_files": ([], """
-        SELECT TRUE AS same_number, CAST(0 AS BIGINT) AS files_missing_from_ledger,
-            CAST(0 AS BIGINT) AS ledger_files_absent_from_source, TRUE AS passed"""),
-    "q13_audit_topics": (_LAND, " UNION ALL ".join(
-        f"""SELECT '{t}' AS topic, count(*) AS source_rows, count(*) AS target_rows,
-            CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows,
-            '' AS schema_differences, TRUE AS same_files, TRUE AS passed FROM land_{t}"""
+            AS l_linestatus) FROM lineitem)""", "*")),
+    "q13_reconcile_files": (_LAND, " UNION ALL ".join(
+        f"""SELECT "case", '{t}' AS topic, ledger_lacks * early AS rows_not_in_ledger,
+            lake_lacks * early AS rows_not_in_lake, (ledger_lacks + lake_lacks) * early = 0 AS passed
+            FROM (SELECT count(*) FILTER (WHERE month(heard) = 1 AND day(heard) < 10) AS early
+                FROM (SELECT make_timestamp_ms(ts) AS heard FROM land_{t})),
+            (VALUES ('as loaded', 0, 0), ('ledger lacks days', 1, 0), ('lake lacks days', 0, 1))
+                v("case", ledger_lacks, lake_lacks)"""
         for t in TOPICS)),
+    "q13_audit_topics": (_LAND, " UNION ALL ".join(
+        f"""SELECT '{warehouse}' AS warehouse, '{t}' AS topic, count(*) AS source_rows,
+            count(*) * {there} AS target_rows, count(*) * {1 - there} AS missing_rows,
+            CAST(0 AS BIGINT) AS extra_rows, '' AS schema_differences, {there} = 1 AS same_files,
+            {there} = 1 AS passed FROM land_{t}"""
+        for warehouse in ("whole", "half") for t in TOPICS
+        for there in [int(warehouse == "whole" or t in TOPICS[:2])])),
     "q14_missing_dimensions": (["int_fact"], """
         SELECT count(*) AS play_count, count(*) - count(user_key) AS missing_user,
             count(*) - count(song_key) AS missing_song, count(*) - count(session_key) AS missing_session,
@@ -543,6 +618,13 @@ _STEP_OF = {
     "m3_dim_session": "dim_session", "m4_dim_location": "dim_location", "m5_dim_date": "dim_date",
     "m6_dim_time": "dim_time", "m12_default_foreign_keys": "defaulted",
     "p1_song_plays": "song_plays", "p2_filter_options": "filter_options",
+    "s14_stored_fact": "upserted",
+}
+
+_FINAL |= {
+    "q1_declared_intermediate": _declared(declared.INTERMEDIATE),
+    "q1_declared_marts": _declared(declared.MARTS),
+    "q1_declared_dashboard": _declared(declared.DASHBOARD),
 }
 
 

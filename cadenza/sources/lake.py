@@ -1,18 +1,18 @@
-"""Which files of the lake are committed, read from the file sink's commit log."""
+"""Which files of the lake are committed, as Spark itself reads them.
+
+A folder written by the file sink is read through its commit log: files of a batch that never ended
+are not there, compacted or not. What a file is called, its committed size and its rows come from
+the hidden column ``_metadata``; no data column is read.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from cadenza.sources.paths import listing
+from cadenza.sources.paths import is_dir, listing
 
 LOG_DIR = "_spark_metadata"
-LOG_VERSION = "v1"
-COMPACT = ".compact"
-
-_ENTRY = "path string, size bigint, action string"
-_LOGS = "log string, line string, line_no bigint"
-_FILES = "topic string, file_path string, uri string, batch_id bigint, size bigint"
+_FILES = "topic string, file_path string, uri string, size bigint, modified timestamp, rows bigint"
 
 
 def plain_path(uri: Column) -> Column:
@@ -21,124 +21,60 @@ def plain_path(uri: Column) -> Column:
     return F.regexp_replace(path, "^/*", "/")
 
 
-def batch_of(log: Column) -> Column:
-    return F.regexp_replace(log, r"\.compact$", "").cast("bigint")
-
-
-def log_names(spark: SparkSession, topic_dir: str) -> list[tuple[str, int, int]]:
-    """Commit logs of a topic: the numbered files, compacted or not."""
-    return [
-        entry
-        for entry in listing(spark, f"{topic_dir}/{LOG_DIR}")
-        if entry[0].removesuffix(COMPACT).isdigit()
-    ]
-
-
-def read_logs(spark: SparkSession, topic_dir: str) -> DataFrame:
-    """Log lines with the name of their log and their place in it; no rows if nothing was committed.
+def _decoded(uri: Column) -> Column:
+    return F.try_url_decode(F.regexp_replace(uri, r"\+", "%2B"))
 
-    Spark's file sources skip folders whose name starts with an underscore, so the lines come from
-    the Hadoop text input, which also splits a large compacted log. The sink compacts as it goes:
-    the logs themselves are few.
-    """
-    sc = spark.sparkContext
 
-    def lines(name: str):
-        rows = sc.newAPIHadoopFile(
-            f"{topic_dir}/{LOG_DIR}/{name}",
-            "org.apache.hadoop.mapreduce.lib.input.TextInputFormat",
-            "org.apache.hadoop.io.LongWritable",
-            "org.apache.hadoop.io.Text",
-        )
-        return rows.map(lambda row: (name, row[1].strip(), row[0]))
+def commit_state(spark: SparkSession, topic_dir: str) -> list[tuple[str, int, int]]:
+    """Names, lengths and times of the commit logs: unequal if the lake has moved meanwhile."""
+    return listing(spark, f"{topic_dir}/{LOG_DIR}")
 
-    names = [name for name, _, _ in log_names(spark, topic_dir)]
-    if not names:
-        return spark.createDataFrame([], _LOGS)
-    return spark.createDataFrame(sc.union([lines(name) for name in names]), _LOGS)
 
-
-def _entries(logs: DataFrame) -> DataFrame:
-    body = logs.filter((F.col("line") != "") & (F.col("line") != LOG_VERSION))
-    return body.select("log", "line_no", F.from_json("line", _ENTRY).alias("e")).select(
-        "log", "line_no", "e.*"
-    )
-
-
-def committed_files(logs: DataFrame, topic: str) -> DataFrame:
-    """Files ever added, each once with its first batch (a compacted log repeats older files).
-    Unreadable lines and other actions are passed over."""
-    added = _entries(logs).filter((F.col("action") == "add") & F.col("path").isNotNull())
-    return (
-        added.select(
-            plain_path(F.col("path")).alias("file_path"),
-            F.col("path").alias("uri"),
-            batch_of(F.col("log")).alias("batch_id"),
-            "size",
-        )
-        .groupBy("file_path")
-        .agg(F.min("batch_id").alias("batch_id"), F.max("uri").alias("uri"),
-             F.max("size").alias("size"))
-        .select(F.lit(topic).alias("topic"), "file_path", "uri", "batch_id", "size")
+def committed_files(spark: SparkSession, topic_dir: str, topic: str) -> DataFrame:
+    """The committed files of a topic with size and rows; no rows if there is no such folder."""
+    if not is_dir(spark, topic_dir):
+        return spark.createDataFrame([], _FILES)
+    uri = _decoded(F.col("_metadata.file_path"))
+    files = spark.read.schema("offset bigint").parquet(topic_dir).select(
+        uri.alias("uri"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
     )
+    return files.groupBy("uri", "size", "modified").agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(topic).alias("topic"), plain_path(F.col("uri")).alias("file_path"), "uri", "size",
+        "modified", "rows",
+    )
 
 
 def new_files(committed: DataFrame, loaded: DataFrame) -> DataFrame:
     """Committed files whose path is not yet loaded."""
-    return committed.join(loaded.select("file_path"), "file_path", "left_anti")
-
-
-def _current(logs: DataFrame) -> DataFrame:
-    """Lines of the newest compacted log and of every later batch."""
-    newest = logs.filter(F.col("log").endswith(COMPACT)).agg(F.max(batch_of(F.col("log"))))
-    batch, since = batch_of(F.col("log")), F.coalesce(newest.scalar(), F.lit(-1))
-    compact = F.col("log").endswith(COMPACT)
-    return logs.filter((batch > since) | (compact & (batch == since)))
-
-
-def inventory(logs: DataFrame, topic: str) -> DataFrame:
-    """Files present after replaying adds and deletes in batch order."""
-    replayed = _entries(_current(logs)).select(
-        F.try_url_decode(F.regexp_replace(plain_path(F.col("path")), r"\+", "%2B")).alias(
-            "file_path"
-        ),
-        F.struct(batch_of(F.col("log")).alias("batch"), "line_no").alias("at"),
-        F.struct("action", "size").alias("what"),
-    )
-    last = replayed.groupBy("file_path").agg(F.max_by("what", "at").alias("last"))
-    kept = last.filter(F.col("last.action") != "delete")
-    return kept.select(F.lit(topic).alias("topic"), "file_path", F.col("last.size").alias("size"))
-
-
-def inventory_problems(logs: DataFrame, topic_path: str) -> DataFrame:
-    """Logs of another version, unreadable lines, unknown actions, files outside the topic."""
-    current = _current(logs)
-    first = current.groupBy("log").agg(F.min_by("line", "line_no").alias("first"))
-    version = first.filter(~F.col("first").eqNullSafe(LOG_VERSION)).select(
-        "log", F.lit("log version").alias("problem")
-    )
-    action, path = F.col("action"), plain_path(F.col("path"))
-    problem = (
-        F.when(F.col("path").isNull() | action.isNull(), "unreadable line")
-        .when(~action.isin("add", "delete"), "unknown action")
-        .when(~path.startswith(topic_path.rstrip("/") + "/"), "outside topic")
+    return committed.join(loaded.select("file_path"), "file_path", "left_anti").select(
+        *committed.columns
     )
-    lines = _entries(current).select("log", problem.alias("problem"))
-    return version.unionByName(lines.filter(F.col("problem").isNotNull()))
 
 
-def audit_inventory(spark: SparkSession, topic_dir: str, topic: str) -> DataFrame:
-    """The inventory of a live topic, refused if its logs are unsound or name no file."""
-    logs = read_logs(spark, topic_dir)
-    found = inventory_problems(logs, _plain(topic_dir)).first()
-    if found:
-        raise ValueError(f"commit log {found['log']} of {topic}: {found['problem']}")
-    files = inventory(logs, topic)
+def inventory(spark: SparkSession, topic_dir: str, topic: str) -> DataFrame:
+    """The committed files of a live topic, refused if the folder has no commit log or the log
+    names no file."""
+    if not commit_state(spark, topic_dir):
+        raise ValueError(f"no commit log in {topic}")
+    files = committed_files(spark, topic_dir, topic)
     if files.isEmpty():
         raise ValueError(f"no committed files in {topic}")
     return files
 
 
-def _plain(uri: str) -> str:
-    rest = uri.split("://", 1)[1].split("/", 1)[1] if "://" in uri else uri.removeprefix("file:")
-    return "/" + rest.strip("/")
+def file_lengths(spark: SparkSession, topic_dir: str) -> DataFrame:
+    """Paths and lengths as they are in the folders now; contents are not read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(f"{topic_dir}/*=*")
+    )
+    return files.select(plain_path(_decoded(F.col("path"))).alias("file_path"), "length")
+
+
+def wrong_sizes(files: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Committed files that are gone or have another length than was committed."""
+    found = files.join(lengths, "file_path", "left")
+    return found.filter(F.col("length").isNull() | (F.col("length") != F.col("size")))

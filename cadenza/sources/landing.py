@@ -1,14 +1,25 @@
 """Load committed files once each, tracked in a ledger.
 
-There is no transaction over two folders, so the ledger row is the commit: a load writes its rows to
-``landing/<topic>/load_id=<n>`` and then its files to the ledger. Readers see only loads the ledger
-names; a load that died half-way is invisible and the next run writes over it.
+=============================================  ====================================================
+``landing/<topic>/load=<id>/``                 rows of a load
+``landing/ingestion_ledger/load=<id>/``        its files
+``landing/commits/<topic>/<number>.json``      its commit, written last: number, load, rows, schema
+=============================================  ====================================================
+
+Rows and ledger of a load become visible together, by its commit; a load that died before leaves
+folders that nothing names. A commit's number is the topic's last one plus one and is given once: of
+two runs that load the same files at the same time one commits, the other finds the number taken,
+drops what it read and looks again for what is still new.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -18,6 +29,9 @@ from cadenza.sources import lake, paths
 SUCCESS = "SUCCESS"
 MAX_FILES_PER_LOAD = 10_000
 
+_COMMIT = "topic string, number bigint, load string, rows bigint"
+_STORED = "file_path string, topic string, status string, ingested_at timestamp, load string"
+
 
 def _ledger_dir(warehouse: str) -> str:
     return f"{warehouse}/landing/ingestion_ledger"
@@ -27,12 +41,38 @@ def _topic_dir(warehouse: str, topic: str) -> str:
     return f"{warehouse}/landing/{topic}"
 
 
+def _commit_file(warehouse: str, topic: str, number: int) -> str:
+    return f"{warehouse}/landing/commits/{topic}/{number:010d}.json"
+
+
+def read_commits(spark: SparkSession, warehouse: str) -> DataFrame:
+    """The loads that count. A commit that cannot be read is an error: to pass it over would load
+    its files again."""
+    folder = f"{warehouse}/landing/commits"
+    if not paths.is_dir(spark, folder):
+        return spark.createDataFrame([], _COMMIT)
+    reader = spark.read.schema(_COMMIT).option("mode", "FAILFAST")
+    return reader.option("recursiveFileLookup", "true").json(folder)
+
+
+def last_load(spark: SparkSession, warehouse: str, topic: str) -> int:
+    """Number of the topic's last commit; 0 before the first."""
+    names = (n for n, _, _ in paths.listing(spark, f"{warehouse}/landing/commits/{topic}"))
+    return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json")), default=0)
+
+
 def read_ledger(spark: SparkSession, warehouse: str) -> DataFrame:
-    """Empty if there is no ledger yet. One that is there but damaged or out of reach is an
-    error: to take it as empty would load everything again."""
+    """The files of the committed loads; empty if there is none yet. A load is a batch of its
+    topic, so its number stands in ``batch_id`` and ``load_id``."""
     if not paths.is_dir(spark, _ledger_dir(warehouse)):
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(_ledger_dir(warehouse))
+    files = spark.read.schema(_STORED).parquet(_ledger_dir(warehouse))
+    commits = read_commits(spark, warehouse).select("load", "number")
+    number = F.col("number")
+    return files.join(commits, "load").select(
+        "file_path", "topic", number.alias("batch_id"), "status", "ingested_at",
+        number.alias("load_id"),
+    )
 
 
 def loaded_paths(ledger: DataFrame) -> DataFrame:
@@ -40,23 +80,14 @@ def loaded_paths(ledger: DataFrame) -> DataFrame:
 
 
 def landing_table(spark: SparkSession, warehouse: str, topic: str) -> DataFrame:
-    """The rows of the loads the ledger names; before the first load, none of the schema that
-    the sink writes."""
-    stored = _stored_schema(spark, warehouse, topic)
-    if stored is None:
+    """The rows of the committed loads; before the first load, none of the schema that the sink
+    writes."""
+    schema = stored_schema(spark, warehouse, topic)
+    if schema is None:
         return spark.createDataFrame([], wire_schema(topic))
-    loads = (
-        read_ledger(spark, warehouse)
-        .filter((F.col("topic") == topic) & (F.col("status") == SUCCESS))
-        .select("load_id")
-        .distinct()
-    )
-    rows = spark.read.schema(stored.add("load_id", "long"))
-    return (
-        rows.parquet(_topic_dir(warehouse, topic))
-        .join(loads, "load_id", "left_semi")
-        .drop("load_id")
-    )
+    loads = read_commits(spark, warehouse).filter(F.col("topic") == topic).select("load")
+    rows = spark.read.schema(T.StructType([*schema.fields]).add("load", "string"))
+    return rows.parquet(_topic_dir(warehouse, topic)).join(loads, "load", "left_semi").drop("load")
 
 
 def wire_schema(topic: str) -> T.StructType:
@@ -72,17 +103,12 @@ def wire_schema(topic: str) -> T.StructType:
     return schema.add("hour", "integer")
 
 
-def _stored_schema(spark: SparkSession, warehouse: str, topic: str) -> T.StructType | None:
+def stored_schema(spark: SparkSession, warehouse: str, topic: str) -> T.StructType | None:
     """Columns fixed by the first load of the topic."""
-    first = (
-        read_ledger(spark, warehouse)
-        .filter((F.col("topic") == topic) & (F.col("status") == SUCCESS))
-        .agg(F.min("load_id"))
-        .first()[0]
-    )
-    if first is None:
+    first = _commit_file(warehouse, topic, 1)
+    if not paths.exists(spark, first):
         return None
-    return spark.read.parquet(f"{_topic_dir(warehouse, topic)}/load_id={first}").schema
+    return T.StructType.fromJson(json.loads(paths.read_text(spark, first))["schema"])
 
 
 def by_name(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -103,37 +129,51 @@ def read_files(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(*uris)
 
 
-def load_files(spark: SparkSession, warehouse: str, topic: str, files: Sequence) -> int:
-    """One load - rows first, ledger last. Returns the number of rows."""
+def load_files(
+    spark: SparkSession, warehouse: str, topic: str, files: Sequence, number: int | None = None
+) -> int | None:
+    """One load - rows, then ledger, then the commit. Returns the number of rows, or None if
+    another run has committed load ``number`` (by default the next one) meanwhile."""
+    if number is None:
+        number = last_load(spark, warehouse, topic) + 1
     rows = read_files(spark, [f["uri"] for f in files])
-    schema = _stored_schema(spark, warehouse, topic)
+    schema = stored_schema(spark, warehouse, topic)
     if schema is not None:
         rows = by_name(rows, schema)
-    last = read_ledger(spark, warehouse).agg(F.max("load_id")).first()[0]
-    load_id = 1 if last is None else last + 1
-    target = f"{_topic_dir(warehouse, topic)}/load_id={load_id}"
-    written = Observation("load")  # counted by the write itself: nothing is read back
-    counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(target)
-    write_ledger(spark, warehouse, topic, files, load_id)
-    return written.get["rows"]
+    load = uuid.uuid4().hex
+    target = f"{_topic_dir(warehouse, topic)}/load={load}"
+    written = Observation()  # counted by the write itself: nothing is read back
+    rows.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(target)
+    write_ledger(spark, warehouse, topic, files, load)
+    count = written.get["rows"]
+    commit = {"topic": topic, "number": number, "load": load, "rows": count}
+    if schema is None:
+        commit["schema"] = rows.schema.jsonValue()
+    if paths.put_new(spark, _commit_file(warehouse, topic, number), json.dumps(commit)):
+        return count
+    for folder in (target, f"{_ledger_dir(warehouse)}/load={load}"):
+        paths.remove_dir(spark, folder)
+    return None
 
 
 def write_ledger(
-    spark: SparkSession, warehouse: str, topic: str, files: Sequence, load_id: int
+    spark: SparkSession, warehouse: str, topic: str, files: Sequence, load: str
 ) -> None:
     at = datetime.now(timezone.utc)
-    entries = [(f["file_path"], topic, f["batch_id"], SUCCESS, at, load_id) for f in files]
-    ledger = spark.createDataFrame(entries, LEDGER_SCHEMA).drop("load_id")
-    ledger.coalesce(1).write.mode("overwrite").parquet(
-        f"{_ledger_dir(warehouse)}/load_id={load_id}"
+    entries = [(f["file_path"], topic, SUCCESS, at) for f in files]
+    ledger = spark.createDataFrame(entries, _STORED.rsplit(",", 1)[0])
+    ledger.coalesce(1).write.parquet(f"{_ledger_dir(warehouse)}/load={load}")
+
+
+def pending_files(
+    spark: SparkSession, lake_dir: str, warehouse: str, topics: Sequence[str]
+) -> DataFrame:
+    """Committed files of these topics that no committed load has."""
+    committed = reduce(
+        DataFrame.unionByName,
+        [lake.committed_files(spark, f"{lake_dir}/{topic}", topic) for topic in topics],
     )
-
-
-def pending_files(spark: SparkSession, lake_dir: str, warehouse: str, topic: str) -> DataFrame:
-    logs = lake.read_logs(spark, f"{lake_dir}/{topic}")
-    ledger = read_ledger(spark, warehouse)
-    return lake.new_files(lake.committed_files(logs, topic), loaded_paths(ledger))
+    return lake.new_files(committed, loaded_paths(read_ledger(spark, warehouse)))
 
 
 def run_ingestion(
@@ -143,17 +183,38 @@ def run_ingestion(
     topics: str | Sequence[str] | None = None,
     max_files: int = MAX_FILES_PER_LOAD,
 ) -> dict[str, int]:
-    """Load everything new of all topics, one or some. A large backlog is taken in several
-    loads, so the file names held by the driver stay few; a second run finds nothing."""
+    """Load everything new of all topics, one or some. What is new is asked once for all topics;
+    their loads run side by side. A large backlog is taken in several loads, so the file names held
+    by the driver stay few; a second run finds nothing."""
     chosen = [topics] if isinstance(topics, str) else list(topics or TOPICS)
     loaded: dict[str, int] = {}
-    for topic in chosen:
-        more = True
-        while more:
-            pending = pending_files(spark, lake_dir, warehouse, topic)
-            files = pending.orderBy("batch_id", "file_path").limit(max_files).collect()
-            if files:
-                rows = load_files(spark, warehouse, topic, files)
+    while chosen:
+        # The numbers come first: files that another run commits after this are looked at again.
+        numbers = {t: last_load(spark, warehouse, t) + 1 for t in chosen}
+        pending = pending_files(spark, lake_dir, warehouse, chosen)
+        first = reduce(
+            DataFrame.unionByName,
+            [
+                pending.filter(F.col("topic") == t).orderBy("modified", "file_path").limit(max_files)
+                for t in chosen
+            ],
+        ) if len(chosen) > 1 else pending.orderBy("modified", "file_path").limit(max_files)
+        files: dict[str, list] = {}
+        for row in first.collect():  # at most max_files a topic
+            files.setdefault(row["topic"], []).append(row)
+        if not files:
+            break
+        with ThreadPoolExecutor(len(files)) as pool:
+            found = dict(
+                zip(
+                    files,
+                    pool.map(
+                        lambda t: load_files(spark, warehouse, t, files[t], numbers[t]), files
+                    ),
+                )
+            )
+        for topic, rows in found.items():
+            if rows is not None:
                 loaded[topic] = loaded.get(topic, 0) + rows
-            more = len(files) == max_files
+        chosen = [t for t in files if found[t] is None or len(files[t]) == max_files]
     return loaded

@@ -223,6 +223,72 @@ def test_version_lookup_equals_interval_join(spark, seconds):
     assert merged.filter("user_key is not null").count() > 300
 
 
+def test_aligned_intervals_cover_a_period_once(spark):
+    pick = random.Random(5)
+    start = datetime(2026, 1, 1)
+    periods = []
+    for n in range(60):
+        begin = start + timedelta(microseconds=pick.randrange(0, 400_000_000))
+        periods.append((f"k{n}", n, begin, begin + timedelta(microseconds=pick.randrange(1, 300_000_000))))
+    users = spark.createDataFrame(
+        periods, "user_key string, user_id int, start_time timestamp, end_time timestamp")
+    first = int((datetime(2026, 1, 1) - datetime(1, 1, 1)).total_seconds())
+    covered = {}
+    for r in fact._aligned(users).collect():
+        seconds = range(r["_number"] << r["_level"], (r["_number"] + 1) << r["_level"])
+        covered.setdefault(r["userId"], []).extend(s - first for s in seconds)
+    for _, user, begin, end in periods:
+        low = int((begin - start).total_seconds())
+        high = -int(-((end - start) / timedelta(seconds=1)) // 1)
+        assert sorted(covered[user]) == list(range(low, high))
+
+
+def test_overlapping_versions_are_all_found(spark):
+    """Nested, crossing, equal, empty and open periods, bounds to the microsecond; repeated plays."""
+    pick = random.Random(12)
+    start = datetime(2026, 1, 1)
+    users, times = [], []
+    for n in range(150):
+        begin = start + timedelta(microseconds=pick.choice([0, 1, 999_999, 1_000_000, 7_300_001]) * pick.randrange(40))
+        end = pick.choice([begin, begin + timedelta(microseconds=1), begin + timedelta(seconds=pick.randrange(90)), FOREVER])
+        users.append((f"k{n}", pick.choice([1, 1, 2, None]), begin, end))
+        times += [begin, begin - timedelta(microseconds=1), end if end != FOREVER else begin]
+    plays_ = [(pick.choice([1, 2, 3, None]), 1, pick.choice([*times, None]), n // 2) for n in range(400)]
+    plays_ += plays_[:30]
+    wanted = []
+    for p in plays_:
+        keys = [k for k, u, b, e in users if u is not None and u == p[0] and p[2] and b <= p[2] < e]
+        wanted += [(*p, k) for k in keys or [None]]
+    df = spark.createDataFrame(plays_, "userId int, sessionId int, ts timestamp, itemInSession int")
+    versions = spark.createDataFrame(
+        users, "user_key string, user_id int, start_time timestamp, end_time timestamp")
+    found = fact.attach_user(df, versions.unionByName(versions.limit(9)), disjoint=False)
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert rows(found) == sorted(wanted, key=key)
+    nobody = fact.attach_user(df, versions.limit(0), disjoint=False)
+    assert nobody.count() == len(plays_) and nobody.filter("user_key is not null").isEmpty()
+
+
+def test_a_user_with_very_many_overlapping_versions(spark):
+    n = F.col("id")
+    users = spark.range(100_000).select(
+        n.cast("string").alias("user_key"), F.lit(1).alias("user_id"),
+        F.timestamp_seconds(n).alias("start_time"), F.timestamp_seconds(n + 20).alias("end_time"),
+    )
+    listens = spark.range(2000).select(
+        F.lit(1).alias("userId"), F.lit(1).alias("sessionId"), F.timestamp_seconds(n * 50).alias("ts"),
+        n.cast("int").alias("itemInSession"),
+    )
+    found = fact.attach_user(listens, users, disjoint=False)
+    per_play = found.groupBy("itemInSession").agg(
+        F.count("user_key").alias("n"), F.max(F.col("user_key").cast("int")).alias("last"))
+    assert rows(per_play.filter("itemInSession > 0").groupBy("n").count()) == [(20, 1999)]
+    assert per_play.filter(F.col("last") != F.col("itemInSession") * 50).isEmpty()
+    # Only equal keys meet: the plan has no join on the user alone.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_number" in line for line in plan.splitlines() if "Join Inner" in line)
+
+
 def test_chunk_width_follows_the_data(spark):
     hour = spark.range(3600).select(F.timestamp_seconds("id").alias("ts"))
     assert chunk_seconds_for(hour) == 86_400

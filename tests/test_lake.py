@@ -116,68 +116,62 @@ def test_an_interrupt_stops_every_query(spark, tmp_path, monkeypatch):
     assert not spark.streams.active
 
 
-def write_logs(folder, logs):
-    meta = folder / "_spark_metadata"
-    meta.mkdir(parents=True)
-    for name, entries in logs.items():
-        lines = [e if isinstance(e, str) else json.dumps(e) for e in entries]
-        (meta / name).write_text("\n".join(["v1", *lines]))
-
-
-def entry(path, action="add", size=10):
-    return {"path": path, "size": size, "action": action}
-
-
-def test_committed_files(spark, tmp_path):
-    folder = tmp_path / "listen_events"
-    a, b, c, d = (f"/data/listen_events/year=2026/part-{x}.parquet" for x in "abcd")
-    write_logs(folder, {
-        "0": [entry("hdfs://namenode:9000" + a), entry(a), entry(d, "delete"), "", "{broken"],
-        "9.compact": [entry(a), entry(b)],
-        "0010": [entry("file:" + c)],
-        "ignored.tmp": [entry(d)],
-    })
-    logs = lake.read_logs(spark, str(folder))
-    found = lake.committed_files(logs, "listen_events")
-    assert rows(found, "file_path", "batch_id") == [(a, 0), (b, 9), (c, 10)]
-    known = spark.createDataFrame([(b,)], "file_path string")
-    assert rows(lake.new_files(found, known), "file_path") == [(a,), (c,)]
-    assert lake.committed_files(lake.read_logs(spark, str(tmp_path / "none")), "x").isEmpty()
-
-
-def test_inventory_replays_the_logs(spark, tmp_path):
-    topic = "/data/listen_events"
-    path = [f"{topic}/part-{n}.parquet" for n in range(6)]
-    folder = tmp_path / "ok"
-    write_logs(folder, {
-        "8": [entry(path[5])],
-        "9.compact": [entry(path[0]), entry(path[1])],
-        "10": [entry(path[1], "delete"), entry(path[2]), entry(path[3], size=7)],
-        "11": [entry(path[3], "delete"), entry(path[3], size=8), entry(f"{topic}/a%20b.parquet")],
-    })
-    logs = lake.read_logs(spark, str(folder))
-    assert lake.inventory_problems(logs, topic).isEmpty()
-    assert rows(lake.inventory(logs, "listen_events"), "file_path", "size") == [
-        (f"{topic}/a b.parquet", 10), (path[0], 10), (path[2], 10), (path[3], 8),
-    ]
-
-
-@pytest.mark.parametrize(
-    ("lines", "problem"),
-    [
-        (["v1", json.dumps(entry("/data/t/f", "move"))], "unknown action"),
-        (["v1", json.dumps(entry("/data/other/f"))], "outside topic"),
-        (["v2", json.dumps(entry("/data/t/f"))], "log version"),
-        (["v1", "{broken"], "unreadable line"),
-        ([json.dumps(entry("/data/t/f")), "v1"], "log version"),
-    ],
-)
-def test_unsound_logs_are_reported(spark, tmp_path, lines, problem):
-    meta = tmp_path / "_spark_metadata"
-    meta.mkdir()
-    (meta / "0").write_text("\n".join(lines))
-    found = lake.inventory_problems(lake.read_logs(spark, str(tmp_path)), "/data/t")
-    assert problem in {r["problem"] for r in found.collect()}
+@pytest.fixture(scope="module")
+def small_lake(spark, tmp_path_factory):
+    """Seven batches of one file each, in daily folders with a space in one name; the log is
+    compacted every third batch."""
+    root = tmp_path_factory.mktemp("small")
+    key = "spark.sql.streaming.fileSink.log.compactInterval"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "3")
+    for n in range(7):
+        part = spark.range(n * 5, n * 5 + 5).select(
+            F.col("id").alias("offset"), F.lit("a b" if n == 2 else f"d{n}").alias("day"))
+        part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema("offset bigint, day string").option("maxFilesPerTrigger", 1)
+    query = (
+        stream.parquet(f"{root}/in").writeStream.format("parquet").partitionBy("day")
+        .option("path", f"{root}/lake/t").option("checkpointLocation", f"{root}/check")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+    return root / "lake"
+
+
+def test_committed_files(spark, small_lake, tmp_path):
+    folder = small_lake / "t"
+    assert any(f.name.endswith(".compact") for f in (folder / lake.LOG_DIR).iterdir())
+    # Files of a batch that never ended lie there, but are not committed.
+    stray = next(folder.glob("day=d0/*.parquet"))
+    (folder / "day=d0" / "stray.parquet").write_bytes(stray.read_bytes())
+    found = lake.committed_files(spark, str(folder), "t")
+    there = {str(f) for f in folder.glob("day=*/*.parquet") if f.name != "stray.parquet"}
+    assert {r["file_path"] for r in found.collect()} == there and len(there) == 7
+    assert any("a b" in f or "a%20b" in f for f in there)
+    lengths = {r["file_path"]: r["size"] for r in found.collect()}
+    assert all(size == len(open(f, "rb").read()) for f, size in lengths.items())
+    assert found.agg(F.sum("rows")).first()[0] == 35
+    uris = [r["uri"] for r in found.collect()]
+    assert rows(landing.read_files(spark, uris), "offset") == sorted(((n,) for n in range(35)), key=lambda r: (False, str(r[0])))
+    known = found.limit(3)
+    assert lake.new_files(found, known).count() == 4
+    assert lake.committed_files(spark, str(tmp_path / "none"), "x").isEmpty()
+    assert lake.wrong_sizes(found, lake.file_lengths(spark, str(folder))).isEmpty()
+    cut = lake.file_lengths(spark, str(folder)).withColumn("length", F.col("length") - 1)
+    assert lake.wrong_sizes(found, cut).count() == 7
+
+
+def test_a_topic_without_commits_is_refused(spark, small_lake, tmp_path):
+    assert lake.inventory(spark, str(small_lake / "t"), "t").count() == 7
+    (tmp_path / "day=1").mkdir()
+    with pytest.raises(ValueError, match="no commit log in t"):
+        lake.inventory(spark, str(tmp_path), "t")
+    logs = tmp_path / lake.LOG_DIR
+    logs.mkdir()
+    (logs / "0").write_text("v1")
+    with pytest.raises(ValueError, match="no committed files in t"):
+        lake.inventory(spark, str(tmp_path), "t")
 
 
 def test_ingestion_loads_once(spark, lake_dir, tmp_path):
@@ -195,7 +189,7 @@ def test_ingestion_loads_once(spark, lake_dir, tmp_path):
         assert "hour" in table.columns and not {"year", "load_id"} & set(table.columns)
         stored = spark.read.parquet(f"{lake_dir}/{topic}").select(*table.columns)
         assert quality.reconcile_rows(stored, table).first()["passed"]
-        files = lake.audit_inventory(spark, f"{lake_dir}/{topic}", topic)
+        files = lake.inventory(spark, f"{lake_dir}/{topic}", topic)
         ledger = landing.read_ledger(spark, warehouse).filter(F.col("topic") == topic)
         assert quality.reconcile_files(files, ledger).first()["passed"]
         fewer = ledger.filter(~F.col("file_path").endswith(
@@ -238,32 +232,63 @@ def test_audit_of_a_live_topic(spark, tmp_path, monkeypatch):
     assert (report["files_missing_from_ledger"], report["passed"]) == (1, False)
 
     with monkeypatch.context() as patched:
-        seen = iter([[("0", 1, 1)], [("0", 1, 1), ("1", 1, 1)]])
-        real = lake.read_logs(spark, str(lake_dir / topic))
-        patched.setattr(lake, "read_logs", lambda *_: real)
-        patched.setattr(lake, "log_names", lambda *_: next(seen))
+        seen = iter([[("0", 1, 1)], [("0", 1, 1)], [("0", 1, 1), ("1", 1, 1)]])
+        patched.setattr(lake, "commit_state", lambda *_: next(seen))
         with pytest.raises(ValueError, match="the lake changed"):
             audit_topic(spark, str(lake_dir), warehouse, topic)
 
-    commit("1", (paths[1], sizes[1] + 1))
-    with pytest.raises(ValueError, match="differs from its commit log: .*part-1.parquet"):
+    with monkeypatch.context() as patched:
+        real = lake.file_lengths
+        longer = F.col("length") + F.col("file_path").endswith("part-1.parquet").cast("int")
+        patched.setattr(lake, "file_lengths", lambda *a: real(*a).withColumn("length", longer))
+        with pytest.raises(ValueError, match="differs from its commit log: .*part-1.parquet"):
+            audit_topic(spark, str(lake_dir), warehouse, topic)
+    # A file that is no longer what was committed cannot be read as such.
+    (folder / "part-1.parquet").write_bytes(b"PAR1")
+    with pytest.raises(Exception, match="part-1.parquet|Parquet|length"):
         audit_topic(spark, str(lake_dir), warehouse, topic)
 
 
-def test_a_load_without_its_ledger_row_is_invisible(spark, lake_dir, tmp_path, monkeypatch):
-    warehouse, topic = str(tmp_path), "auth_events"
+@pytest.mark.parametrize("step", ["write_ledger", "paths.put_new"])
+def test_a_load_without_its_commit_is_invisible(spark, small_lake, tmp_path, monkeypatch, step):
+    """Rows alone, or rows and ledger, but no commit: both are rolled back together."""
+    warehouse = str(tmp_path)
 
     def fail(*_):
-        raise OSError("ledger is away")
+        raise OSError("the store is away")
 
     with monkeypatch.context() as patched:
-        patched.setattr(landing, "write_ledger", fail)
-        with pytest.raises(OSError, match="ledger is away"):
-            landing.run_ingestion(spark, lake_dir, warehouse, topic)
+        patched.setattr(f"cadenza.sources.landing.{step}", fail)
+        with pytest.raises(OSError, match="the store is away"):
+            landing.run_ingestion(spark, str(small_lake), warehouse, "t", max_files=3)
     assert landing.read_ledger(spark, warehouse).isEmpty()
-    loaded = landing.run_ingestion(spark, lake_dir, warehouse, [topic])
-    table = landing.landing_table(spark, warehouse, topic)
-    assert loaded == {topic: table.count()} and table.count() > 0
+    assert landing.stored_schema(spark, warehouse, "t") is None
+    assert landing.run_ingestion(spark, str(small_lake), warehouse, ["t"]) == {"t": 35}
+    assert landing.landing_table(spark, warehouse, "t").count() == 35
+    assert landing.read_ledger(spark, warehouse).count() == 7
+
+
+def test_two_runs_at_once_load_each_file_once(spark, small_lake, tmp_path):
+    import threading
+
+    warehouse, found = str(tmp_path), []
+
+    def run():
+        found.append(landing.run_ingestion(spark, str(small_lake), warehouse, "t", max_files=4))
+
+    runs = [threading.Thread(target=run) for _ in range(3)]
+    for r in runs:
+        r.start()
+    for r in runs:
+        r.join()
+    assert sum(f.get("t", 0) for f in found) == 35 and len(found) == 3
+    table = landing.landing_table(spark, warehouse, "t")
+    assert table.count() == table.select("offset").distinct().count() == 35
+    ledger = landing.read_ledger(spark, warehouse)
+    assert ledger.count() == ledger.select("file_path").distinct().count() == 7
+    assert rows(ledger.groupBy("load_id").count(), "load_id") == [(1,), (2,)]
+    # What the losers had read is gone.
+    assert len(list((tmp_path / "landing" / "t").iterdir())) == 2
 
 
 def test_later_files_are_matched_by_name(spark, tmp_path):
@@ -303,13 +328,19 @@ def test_keyed_messages(spark, tmp_path):
 
 def test_cycle_twice(spark, lake_dir, tmp_path, capsys):
     warehouse = str(tmp_path)
-    loaded, first = run_cycle(spark, lake_dir, warehouse, "2026-11-01 00:00:00")
+    with pytest.raises(quality.CheckFailed) as failed:
+        run_cycle(spark, lake_dir, str(tmp_path / "strict"), "2026-11-01 00:00:00")
+    # The streams hold what real feeds do, and the checks of the intermediate layer name it.
+    planted = [f.rsplit(": ", 1)[0] for f in str(failed.value).split("; ")]
+    assert "int_dim_song.song_name not_null" in planted
+    assert "int_dim_location.location_state not_null" in planted
+    loaded, first = run_cycle(spark, lake_dir, warehouse, "2026-11-01 00:00:00", planted)
     assert set(loaded) == set(TOPICS)
     fact = rows(first["fact_song_play"])
     plays = rows(first["song_plays"])
     assert len(fact) == len(plays) == first["int_fact_song_play"].count() > 500
 
-    again, second = run_cycle(spark, lake_dir, warehouse, "2026-11-02 00:00:00")
+    again, second = run_cycle(spark, lake_dir, warehouse, "2026-11-02 00:00:00", planted)
     assert again == {}
     assert rows(second["fact_song_play"]) == fact and rows(second["song_plays"]) == plays
     times = Counter(str(r[0]) for r in rows(second["dim_user"], "inserted_time"))
@@ -319,6 +350,9 @@ def test_cycle_twice(spark, lake_dir, tmp_path, capsys):
     stored, _ = stored_dashboard(spark, warehouse)
     main(["report", "--warehouse", warehouse, "--start", "2024-01-05", "--end", "2024-01-06"])
     shown = capsys.readouterr().out
+    checks = read_table(spark, warehouse, "intermediate", "checks")
+    assert {r["name"] for r in checks.filter("violations > 0").collect()} == set(planted)
+    assert read_table(spark, warehouse, "intermediate", "missing_dimensions").first()[0] == len(fact)
     bundle = reports.load_report(stored, date(2024, 1, 5), date(2024, 1, 6))
     assert all(name in shown for name in bundle)
     assert len(bundle["daily"].collect()) == 2
@@ -331,8 +365,10 @@ def test_an_empty_topic_has_no_rows(spark, tmp_path):
     assert empty.isEmpty() and {"offset", "raw_json", "userId", "hour"} <= set(empty.columns)
 
 
-def test_a_ledger_out_of_reach_is_no_empty_ledger(spark, tmp_path):
-    (tmp_path / "landing" / "ingestion_ledger").mkdir(parents=True)
-    (tmp_path / "landing" / "ingestion_ledger" / "part-0.parquet").write_text("broken")
-    with pytest.raises(Exception, match="part-0|Parquet|parquet"):
+def test_a_commit_out_of_reach_is_no_empty_ledger(spark, small_lake, tmp_path):
+    landing.run_ingestion(spark, str(small_lake), str(tmp_path), "t")
+    broken = tmp_path / "landing" / "commits" / "t" / "0000000001.json"
+    broken.write_text("{broken")
+    with pytest.raises(Exception, match="(?i)malformed|json"):
         landing.loaded_paths(landing.read_ledger(spark, str(tmp_path))).collect()
+    assert landing.read_ledger(spark, str(tmp_path / "nowhere")).isEmpty()

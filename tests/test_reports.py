@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -168,7 +169,7 @@ def test_stored_plays_are_pruned_by_date(spark, tmp_path):
     )
     stored = materialise(plays, str(tmp_path), "dashboard", "song_plays", day="play_date")
     assert stored.dtypes == plays.dtypes and stored.count() == 4_000
-    days = list((tmp_path / "dashboard" / "song_plays").glob("play_date=*"))
+    days = list((tmp_path / "dashboard" / "song_plays").glob("rows/load=*/play_date=*"))
     files = [f for d in days for f in d.glob("*.parquet")]
     assert len(days) == 33 and len(files) == len(days)
     day = date(1970, 1, 3)
@@ -176,3 +177,57 @@ def test_stored_plays_are_pruned_by_date(spark, tmp_path):
     plan = chosen._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(play_date" in plan
     assert chosen.count() == plays.where("play_date = '1970-01-03'").count() > 0
+
+
+def test_bundle_equals_the_reports_one_by_one(spark, tmp_path):
+    """Unknown songs, artists, users and places, ties, a key with two spellings; one scan for all."""
+    pick = random.Random(7)
+    plays = []
+    for n in range(400):
+        song = pick.choice(["s1", "s2", "s3", "s4", "-1"])
+        plays.append((
+            f"p{n}", pick.choice([1, 2, 3, -1, None]), song, "l",
+            at(f"10-1{pick.randrange(1, 5)} {pick.randrange(10, 24)}:00:00") if n % 9 else None,
+            pick.choice([None, 1.5, 0.0, 200.25]), pick.choice(["CA", "NY", "Unknown"]),
+            pick.choice(["F", "M", "Unknown"]), "Title" if n % 5 else f"Title of {song}",
+            "Unknown" if song == "s4" else f"Artist {song}"))
+    schema = ("play_key string, user_id int, song_key string, location_key string, "
+              "play_started_at timestamp, listened_seconds double, state string, gender string, "
+              "song string, artist string")
+    spark.createDataFrame(plays, schema).select(
+        "*", F.to_date("play_started_at").alias("play_date"),
+        (F.weekday("play_started_at") + 1).alias("weekday"), F.hour("play_started_at").alias("hour"),
+    ).write.parquet(f"{tmp_path}/plays")
+    board = spark.read.parquet(f"{tmp_path}/plays")
+    kept = []
+
+    def keep(groups):
+        groups.write.parquet(f"{tmp_path}/groups{len(kept)}")
+        kept.append(groups)
+        return spark.read.schema(groups.schema).parquet(f"{tmp_path}/groups{len(kept) - 1}")
+
+    for filters in ({}, {"states": ["CA"], "genders": ["F", "Unknown"]}, {"states": ["none"]}):
+        bundle = reports.load_report(board, START, END, **filters, keep=keep)
+        chosen = reports.select_plays(board, START, END, **filters)
+        single = {
+            "summary": reports.summary(chosen), "states": reports.top_states(chosen),
+            "songs": reports.top_songs(chosen), "gender_songs": reports.top_song_per_gender(chosen),
+            "hourly": reports.hourly_heatmap(chosen), "daily": reports.daily_trend(chosen, START, END),
+            "artists": reports.top_artists(chosen),
+        }
+        assert list(bundle) == list(single)
+        for name, df in single.items():
+            assert sorted(bundle[name].columns) == sorted(df.columns)
+            assert bundle[name].select(*df.columns).collect() == df.collect(), name
+        table = reports.report_rows(bundle)
+        counts = {r["report"]: r["count"] for r in table.groupBy("report").count().collect()}
+        assert counts.pop("summary") == 8
+        assert counts == {n: c for n, df in single.items() if n != "summary" and (c := df.count())}
+    plan = kept[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan") == 1
+
+
+def test_a_stored_verdict_is_not_counted_again(board):
+    reports.reject_bad_tables(*board, sound=True)
+    with pytest.raises(ValueError, match="missing or repeated keys"):
+        reports.reject_bad_tables(*board, sound=False)
