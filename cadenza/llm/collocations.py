@@ -46,7 +46,7 @@ LEAST_PARTS, PART_WORDS = 1 << 10, 1 << 22
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
 #: Shares of a language that are ranked by themselves first.
 SHARES = 64
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _BREAK, _BLANK = np.zeros(256, bool), np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
