@@ -202,9 +202,12 @@ def int_dim_user(
     status_change: DataFrame,
     seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    periods = effective_periods(
-        user_observations(auth, listen, page_view, status_change), seconds=seconds
-    )
+    observations = user_observations(auth, listen, page_view, status_change)
+    return keyed_periods(effective_periods(observations, seconds=seconds))
+
+
+def keyed_periods(periods: DataFrame) -> DataFrame:
+    """The user dimension: each period with its key."""
     return periods.select(
         surrogate_key("user_id", "start_time").alias("user_key"),
         "user_id", "user_last_name", "user_first_name", "user_gender", "registered_at",

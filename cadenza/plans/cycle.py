@@ -15,7 +15,8 @@ from cadenza.operators import dashboard, declared, dimensions, fact, history, ma
 from cadenza.operators.ordered import chunk_seconds_for
 from cadenza.schemas import TOPICS
 from cadenza.session import prepare, size_shuffles
-from cadenza.sources.landing import landing_table, run_ingestion
+from cadenza.sources.increments import extend_history, extend_staging
+from cadenza.sources.landing import run_ingestion
 from cadenza.sources.paths import stored_bytes
 from cadenza.sources.tables import materialise, store_fact, watched
 
@@ -33,7 +34,10 @@ def build_staging(
     }
 
 
-def build_intermediate(stg: dict[str, DataFrame], warehouse: str) -> dict[str, DataFrame]:
+def build_intermediate(
+    stg: dict[str, DataFrame], warehouse: str, users: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """``users``: the user dimension if it is kept up to date elsewhere."""
     listen, page_view = stg["listen_events"], stg["page_view_events"]
     seconds = chunk_seconds_for(page_view)
     fact.reject_conflicts(fact.event_ids(listen, page_view))
@@ -43,7 +47,7 @@ def build_intermediate(stg: dict[str, DataFrame], warehouse: str) -> dict[str, D
         "int_dim_song": dimensions.int_dim_song(listen),
         "int_dim_location": dimensions.int_dim_location(page_view),
         "int_dim_session": dimensions.int_dim_session(page_view),
-        "int_dim_user": history.int_dim_user(
+        "int_dim_user": users or history.int_dim_user(
             stg["auth_events"], listen, page_view, stg["status_change_events"], seconds
         ),
     }
@@ -183,8 +187,18 @@ def build_warehouse(
     """Landing to dashboard. A layer whose checks fail stops the cycle, with all of them named;
     ``tolerate`` names checks that only count."""
     prepare(spark)
+    return _build(build_staging(landing, warehouse), None, warehouse, run_ts, tolerate)
+
+
+def _build(
+    stg: dict[str, DataFrame],
+    users: DataFrame | None,
+    warehouse: str,
+    run_ts: datetime | str | None,
+    tolerate: Collection[str],
+) -> dict[str, DataFrame]:
     run_ts = run_ts or datetime.now(timezone.utc).replace(tzinfo=None)
-    built = build_intermediate(build_staging(landing, warehouse), warehouse)
+    built = build_intermediate(stg, warehouse, users)
     check_intermediate(built, warehouse, tolerate)
     result = build_marts(built, warehouse, run_ts)
     check_marts(built, result, warehouse, tolerate)
@@ -200,9 +214,11 @@ def run_cycle(
     run_ts: datetime | str | None = None,
     tolerate: Collection[str] = (),
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
-    """Ingest what is new, then rebuild. Returns loaded rows per topic and the tables."""
+    """Ingest what is new, extend staging and the user history by it, and build the rest from them.
+    Returns loaded rows per topic and the tables."""
     prepare(spark)
     loaded = run_ingestion(spark, lake_dir, warehouse)
     size_shuffles(spark, stored_bytes(spark, f"{warehouse}/landing"))
-    landing = {topic: landing_table(spark, warehouse, topic) for topic in TOPICS}
-    return loaded, build_warehouse(spark, landing, warehouse, run_ts, tolerate)
+    stg = {topic: extend_staging(spark, warehouse, topic) for topic in TOPICS}
+    users = extend_history(spark, warehouse)
+    return loaded, _build(stg, users, warehouse, run_ts, tolerate)

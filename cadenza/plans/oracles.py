@@ -416,6 +416,9 @@ _BOARD_KEPT = "play_key, user_id, song_key, location_key, play_started_at, liste
 _FINAL: dict[str, tuple[list[str], str]] = {
     "s2_decode": (_LAND, " UNION ALL BY NAME ".join(_decoded(t) for t in TOPICS)),
     "s4_stream_sink": (_LAND, _DAY_COUNTS),
+    "s5_topic_states": (_LAND, " UNION ALL ".join(
+        f"SELECT '{t}' AS topic, 'ended' AS state, count(*) AS n FROM land_{t}" for t in TOPICS[:-1])
+        + f" UNION ALL SELECT '{TOPICS[-1]}', 'failed', NULL"),
     "s6_committed_files": (_LAND, " UNION ALL ".join(
         f"SELECT '{t}' AS topic, count(*) AS n FROM land_{t}" for t in TOPICS)),
     "s7_ledger_new_files": (_LAND, " UNION ALL ".join(
@@ -618,7 +621,8 @@ _STEP_OF = {
     "m3_dim_session": "dim_session", "m4_dim_location": "dim_location", "m5_dim_date": "dim_date",
     "m6_dim_time": "dim_time", "m12_default_foreign_keys": "defaulted",
     "p1_song_plays": "song_plays", "p2_filter_options": "filter_options",
-    "s14_stored_fact": "upserted",
+    "s14_stored_fact": "upserted", "t6_two_loads": "stg_page_view_events",
+    "d11_extended_history": "int_dim_user",
 }
 
 _FINAL |= {

@@ -17,11 +17,11 @@ from cadenza.operators import (
 from cadenza.plans.audit import audit_topic
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.session import shared_dir, prepare
-from cadenza.sources import events, lake, landing, messages
+from cadenza.sources import events, increments, lake, landing, messages
 from cadenza.sources.paths import exists
 from cadenza.sources.tables import read_table, store_fact
 from cadenza.streaming.decode import decode
-from cadenza.streaming.sink import finish, start_topics
+from cadenza.streaming.sink import finish, settle, start_topics
 
 RUN_TS = "2024-02-01 06:00:00"
 NEXT_RUN_TS = "2024-02-02 06:00:00"
@@ -268,6 +268,33 @@ def _(s: Source) -> DataFrame:
     return _union(day(t) for t in TOPICS)
 
 
+@_query("s5_topic_states")
+def _(s: Source) -> DataFrame:
+    # Four queries at once; one meets a record that stops it and leaves the others alone.
+    def build(path: str) -> DataFrame:
+        stream = events.describe(
+            events.event_stream(s.spark, s.sf_dir),
+            *(s.table(n) for n in ("part", "nation", "region")),
+        )
+
+        def read(topic: str) -> DataFrame:
+            rows = events.broker_rows(stream, topic)
+            if topic != TOPICS[-1]:
+                return rows
+            broken = F.when(F.col("offset") >= 0, F.raise_error(F.lit("record cannot be read")))
+            return rows.withColumn("value", F.coalesce(broken.cast("binary"), "value"))
+
+        started = start_topics(s.spark, read, f"{path}/lake", f"{path}/check", trigger=None)
+        states = settle(started).drop("batches", "error")
+        files = _union(lake.committed_files(s.spark, f"{path}/lake/{t}", t) for t in TOPICS[:-1])
+        rows = files.groupBy("topic").agg(F.sum("rows").alias("n"))
+        found = states.join(rows, "topic", "left")
+        found.write.parquet(f"{path}/states")
+        return s.spark.read.schema(found.schema).parquet(f"{path}/states")
+
+    return _once(s.spark, s.sf_dir, "topic-states", build)
+
+
 @_query("s6_committed_files")
 def _(s: Source) -> DataFrame:
     # The committed files hold the rows sent, no more and no fewer.
@@ -612,6 +639,53 @@ def _(s: Source) -> DataFrame:
     return read_table(s.spark, path, "marts", "fact_song_play")
 
 
+@_query("t6_two_loads")
+def _(s: Source) -> DataFrame:
+    # Staging extended load by load, the second holding some rows of the first again, against the
+    # copies delivered: rows by day.
+    def build(path: str) -> str:
+        rows, topic = s.landed("page_view_events"), "page_view_events"
+        later = F.col("ts") >= F.lit(CUTOFF).cast("timestamp")
+        for load in (rows.filter(~later), rows.filter(later | (F.col("offset") % 7 == 0))):
+            aside = f"{path}/in/{uuid.uuid4().hex}"
+            load.write.parquet(aside)
+            files = s.spark.read.parquet(aside).select(
+                F.col("_metadata.file_path").alias("uri")).distinct().collect()
+            landing.load_files(
+                s.spark, path, topic, [{"uri": f["uri"], "file_path": f["uri"]} for f in files]
+            )
+            increments.extend_staging(s.spark, path, topic)
+        return path
+
+    path = _once(s.spark, s.sf_dir, "two-loads", build)
+    return increments.staged(s.spark, path, "page_view_events")
+
+
+@_query("d11_extended_history")
+def _(s: Source) -> DataFrame:
+    # The user dimension extended from two states of the landing tables: some users are seen late.
+    def build(path: str) -> str:
+        late = F.col("userId") % 5 == 0
+        early = F.col("ts") < F.lit(CUTOFF).cast("timestamp")
+        for number in (1, 2):
+            for topic in TOPICS:
+                rows = s.landed(topic)
+                first = F.coalesce(early & ~late, F.lit(True)) | (F.col("offset") % 3 == 0)
+                aside = f"{path}/in/{topic}-{number}"
+                rows.filter(first if number == 1 else ~first).write.parquet(aside)
+                files = s.spark.read.parquet(aside).select(
+                    F.col("_metadata.file_path").alias("uri")).distinct().collect()
+                landing.load_files(
+                    s.spark, path, topic, [{"uri": f["uri"], "file_path": f["uri"]} for f in files]
+                )
+                increments.extend_staging(s.spark, path, topic)
+            increments.extend_history(s.spark, path)
+        return path
+
+    path = _once(s.spark, s.sf_dir, "extended-history", build)
+    return increments.extend_history(s.spark, path)
+
+
 @_query("m15_schema_guard")
 def _(s: Source) -> DataFrame:
     # What the guard says to a fact with other columns, over the plays each of them concerns.

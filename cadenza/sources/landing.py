@@ -79,15 +79,25 @@ def loaded_paths(ledger: DataFrame) -> DataFrame:
     return ledger.filter(F.col("status") == SUCCESS).select("file_path").distinct()
 
 
-def landing_table(spark: SparkSession, warehouse: str, topic: str) -> DataFrame:
-    """The rows of the committed loads; before the first load, none of the schema that the sink
-    writes."""
+def landing_table(
+    spark: SparkSession, warehouse: str, topic: str, after: int = 0
+) -> DataFrame:
+    """The rows of the committed loads (those numbered over ``after``); before the first load,
+    none of the schema that the sink writes."""
     schema = stored_schema(spark, warehouse, topic)
     if schema is None:
         return spark.createDataFrame([], wire_schema(topic))
-    loads = read_commits(spark, warehouse).filter(F.col("topic") == topic).select("load")
+    loads = read_commits(spark, warehouse).filter(
+        (F.col("topic") == topic) & (F.col("number") > after)
+    ).select("load")
     rows = spark.read.schema(T.StructType([*schema.fields]).add("load", "string"))
-    return rows.parquet(_topic_dir(warehouse, topic)).join(loads, "load", "left_semi").drop("load")
+    rows = rows.parquet(_topic_dir(warehouse, topic))
+    if after:
+        # The new loads' folders are named, so that no other is opened; a run brings few.
+        rows = rows.filter(F.col("load").isin([r[0] for r in loads.collect()]))
+    else:
+        rows = rows.join(loads, "load", "left_semi")
+    return rows.drop("load")
 
 
 def wire_schema(topic: str) -> T.StructType:

@@ -80,13 +80,13 @@ def _days(df: DataFrame) -> list[str]:
     return [str(r[0]) for r in df.select(FACT_PARTITION).distinct().collect()]
 
 
-class _Aside:
+class Aside:
     """Rows that several steps of a run read, written beside the table and gone with the run."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path, self.written = spark, path, []
 
-    def __enter__(self) -> _Aside:
+    def __enter__(self) -> Aside:
         return self
 
     def __call__(self, df: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def store_fact(int_fact: DataFrame, warehouse: str, run_ts: datetime | str) -> D
 
     marts.reject_schema_change(base.schemas[ROWS], marts.with_audit(source, run_ts).schema)
     groups = [FACT_PARTITION, BUCKET]
-    with _Aside(spark, path) as aside:
+    with Aside(spark, path) as aside:
         known = versions.read(spark, path, base, DIGESTS)
         unequal = aside(compared(fact_digests(source), known, groups).filter(~F.col("equal")))
         days = _days(unequal)

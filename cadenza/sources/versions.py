@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Collection, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,10 +26,13 @@ from pyspark.sql.types import StructType
 from cadenza.sources import paths
 
 ROWS = "rows"
+#: What rows without a day are kept under.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 #: Versions that stay readable.
 KEPT = 2
 
-#: Folders of a part by day; of a part that is not kept by day, one folder under "".
+#: Folders of a part by day, or by day and load ("<day>@<load>"); of a part that is not kept by day,
+#: one folder under "".
 Folders = Mapping[str, str]
 
 
@@ -76,14 +79,18 @@ def read(
     of: Version | None = None,
     part: str = ROWS,
     days: Collection[str] | None = None,
+    where: Callable[[str], bool] | None = None,
 ) -> DataFrame:
-    """A part of a version (default: the newest); ``days`` opens only these."""
+    """A part of a version (default: the newest). ``days``, or ``where`` asked with a folder's key,
+    opens only some folders."""
     of = of or newest(spark, path)
     if of is None:
         raise ValueError(f"nothing is stored in {path}")
     schema = of.schemas[part]
     chosen = sorted(
-        folder for day, folder in of.parts[part].items() if days is None or day in days
+        folder
+        for key, folder in of.parts[part].items()
+        if (days is None or key.split("@")[0] in days) and (where is None or where(key))
     )
     if not chosen:
         return spark.createDataFrame([], schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -64,6 +65,32 @@ def finish(queries: Sequence[StreamingQuery]) -> None:
         query.awaitTermination()
 
 
+STATES = "topic string, state string, batches bigint, error string"
+
+
+def topic_states(queries: Sequence[StreamingQuery]) -> DataFrame:
+    """What became of each query: running, ended or failed, its batches, and the error's first line."""
+    rows = []
+    for query in queries:
+        error = query.exception()
+        state = "running" if query.isActive else "failed" if error else "ended"
+        progress = query.lastProgress
+        batches = progress["batchId"] + 1 if progress else 0
+        rows.append((query.name, state, batches, str(error).splitlines()[0] if error else None))
+    return SparkSession.active().createDataFrame(rows, STATES)
+
+
+def settle(queries: Sequence[StreamingQuery]) -> DataFrame:
+    """Wait for queries that end by themselves. One that fails does not take the others with it; the
+    states tell."""
+    for query in queries:
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            pass  # kept by the query, and part of its state
+    return topic_states(queries)
+
+
 def run_topics(
     spark: SparkSession,
     read: Callable[[str], DataFrame],
