@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cadenza.functions.clock import second_of_day, seconds_between
 from cadenza.functions.keys import surrogate_key
-from cadenza.operators.ordered import CHUNK, CHUNK_SECONDS, carry, in_chunk, with_chunk
+from cadenza.operators.ordered import CHUNK, CHUNK_SECONDS, Width, carry, in_chunk, with_chunk
 
 EVENT_ID = ["userId", "sessionId", "ts", "itemInSession"]
 CONFLICT = "Conflicting event timestamps in play timeline"
@@ -21,7 +21,7 @@ FACT_COLUMNS = [
 _UNMATCHED_CHUNKS = 1 << 16
 
 
-def _play_chunks(plays: DataFrame, seconds: int) -> DataFrame:
+def _play_chunks(plays: DataFrame, seconds: Width) -> DataFrame:
     """Plays with their chunk. No lookup by user and time can match a play without one of them;
     such plays are dealt over many chunks of their own (below any real one), so that logged-out
     listeners are no hot key."""
@@ -42,7 +42,7 @@ def timeline(listen: DataFrame, page_view: DataFrame) -> DataFrame:
 
 
 def session_instants(
-    events: DataFrame, seconds: int = CHUNK_SECONDS, known_only: bool = False
+    events: DataFrame, seconds: Width = CHUNK_SECONDS, known_only: bool = False
 ) -> DataFrame:
     """One row per (user, session, time) with the next time of that session.
 
@@ -83,7 +83,7 @@ def _ends_at(item: Column) -> Column:
     return F.when(item.isNotNull() & followed, F.col("ts")).otherwise(F.col("next_ts"))
 
 
-def next_event(events: DataFrame, seconds: int = CHUNK_SECONDS) -> DataFrame:
+def next_event(events: DataFrame, seconds: Width = CHUNK_SECONDS) -> DataFrame:
     """each timeline event with the time of the event after it in its session."""
     instants = session_instants(events, seconds)
     at = instants.select(
@@ -96,7 +96,7 @@ def next_event(events: DataFrame, seconds: int = CHUNK_SECONDS) -> DataFrame:
 
 
 def _same_partitions(
-    plays: DataFrame, side: DataFrame, keys: list[str], seconds: int
+    plays: DataFrame, side: DataFrame, keys: list[str], seconds: Width
 ) -> tuple[DataFrame, list[str]]:
     """If the plays carry their chunk, join on it too: it follows from the time, so the result is
     the same, and plays partitioned by (user, chunk) need no shuffle of their own."""
@@ -108,7 +108,7 @@ def _same_partitions(
 
 
 def attach_end_time(
-    plays: DataFrame, instants: DataFrame, seconds: int = CHUNK_SECONDS
+    plays: DataFrame, instants: DataFrame, seconds: Width = CHUNK_SECONDS
 ) -> DataFrame:
     """plain equality, so a play with a missing id survives without an end."""
     side, keys = _same_partitions(plays, instants, ["userId", "sessionId", "ts"], seconds)
@@ -138,7 +138,7 @@ def attach_time(plays: DataFrame, times: DataFrame) -> DataFrame:
     )
 
 
-def overlapping_periods(users: DataFrame, seconds: int = CHUNK_SECONDS) -> DataFrame:
+def overlapping_periods(users: DataFrame, seconds: Width = CHUNK_SECONDS) -> DataFrame:
     """Periods that reach past the start of the same user's next period."""
     periods = _periods(users).withColumnRenamed("ts", "start_time")
     order = [F.col("start_time"), F.col("_period.end_time"), F.col("_period.user_key")]
@@ -234,7 +234,7 @@ def attach_user(
     plays: DataFrame,
     users: DataFrame,
     disjoint: bool | None = None,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     """the user version valid at the play, start <= ts < end.
 
@@ -308,7 +308,7 @@ def attach_location(plays: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def attach_session(
-    plays: DataFrame, sessions: DataFrame, seconds: int = CHUNK_SECONDS
+    plays: DataFrame, sessions: DataFrame, seconds: Width = CHUNK_SECONDS
 ) -> DataFrame:
     """the session event of the same user, session, time and position."""
     side = lookup(
@@ -354,7 +354,7 @@ def int_fact_song_play(
     locations: DataFrame,
     sessions: DataFrame,
     disjoint: bool | None = None,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     """the three lookups by user and time come first and share one partitioning of the plays
     (see ``session.SETTINGS``); each lookup then drops the columns it used."""

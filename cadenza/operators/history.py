@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cadenza.functions.keys import surrogate_key
-from cadenza.operators.ordered import CHUNK, CHUNK_SECONDS, carry, in_chunk, with_chunk
+from cadenza.operators.ordered import CHUNK, CHUNK_SECONDS, Width, carry, in_chunk, with_chunk
 
 USER_ATTRIBUTES = [
     "user_last_name", "user_first_name", "user_gender", "user_agent", "registered_at",
@@ -46,7 +46,7 @@ def _order(ts: str, attributes: Sequence[str]) -> list[Column]:
 def _flagged(observations, entity, ts, attributes, seconds) -> DataFrame:
     spec = in_chunk([entity], _order(ts, attributes))
     state = F.struct(*attributes)
-    local = with_chunk(observations, ts, seconds).select(
+    local = with_chunk(observations, ts, seconds, entity).select(
         "*",
         F.row_number().over(spec).alias(_NTH),
         F.lag(state).over(spec).alias(_BEFORE),
@@ -77,7 +77,7 @@ def change_flags(
     entity: str = "user_id",
     ts: str = "ts",
     attributes: Sequence[str] = USER_ATTRIBUTES,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     """Number the observations, show the previous state, flag each change."""
     rows = _flagged(observations, entity, ts, attributes, seconds)
@@ -94,7 +94,7 @@ def version_numbers(
     entity: str = "user_id",
     ts: str = "ts",
     attributes: Sequence[str] = USER_ATTRIBUTES,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     """Running count of changes; a state that comes back later is a new version."""
     flagged = _flagged(observations, entity, ts, attributes, seconds)
@@ -133,7 +133,7 @@ def _versions(observations, entity, ts, attributes, seconds) -> DataFrame:
     later_rows = newest_first.rowsBetween(Window.unboundedPreceding, -1)
     state = F.struct(*attributes)
     timed = observations.select(entity, *attributes, F.col(ts).alias("start_time"))
-    seen = with_chunk(timed, "start_time", seconds).select(
+    seen = with_chunk(timed, "start_time", seconds, entity).select(
         "*",
         state.alias("_state"),
         F.lead(state).over(newest_first).alias(_BEFORE),
@@ -170,7 +170,7 @@ def version_starts(
     entity: str = "user_id",
     ts: str = "ts",
     attributes: Sequence[str] = USER_ATTRIBUTES,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     """One row per version with the time it was first seen."""
     return _versions(observations, entity, ts, attributes, seconds).drop("_following")
@@ -181,7 +181,7 @@ def effective_periods(
     entity: str = "user_id",
     ts: str = "ts",
     attributes: Sequence[str] = USER_ATTRIBUTES,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     """Half-open periods [start_time, end_time); the last one is open and active."""
     versions = _versions(observations, entity, ts, attributes, seconds)
@@ -200,7 +200,7 @@ def int_dim_user(
     listen: DataFrame,
     page_view: DataFrame,
     status_change: DataFrame,
-    seconds: int = CHUNK_SECONDS,
+    seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
     observations = user_observations(auth, listen, page_view, status_change)
     return keyed_periods(effective_periods(observations, seconds=seconds))

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cadenza.operators import dashboard, declared, dimensions, fact, history, marts, quality, staging
-from cadenza.operators.ordered import chunk_seconds_for
+from cadenza.operators.ordered import Chunks, chunk_seconds_for, chunks_for
 from cadenza.schemas import TOPICS
 from cadenza.session import prepare, size_shuffles
 from cadenza.sources.increments import extend_history, extend_staging
@@ -34,12 +35,21 @@ def build_staging(
     }
 
 
+def user_chunks(stg: dict[str, DataFrame], warehouse: str) -> Chunks:
+    """Chunks of the users' events for this data, with cuts where a user has a burst of them."""
+    events = reduce(DataFrame.unionByName, [df.select("userId", "ts") for df in stg.values()])
+    return chunks_for(
+        events, "userId", "ts", chunk_seconds_for(stg["page_view_events"]),
+        keep=lambda cuts: materialise(cuts, warehouse, "intermediate", "hot_chunks"),
+    )
+
+
 def build_intermediate(
     stg: dict[str, DataFrame], warehouse: str, users: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """``users``: the user dimension if it is kept up to date elsewhere."""
     listen, page_view = stg["listen_events"], stg["page_view_events"]
-    seconds = chunk_seconds_for(page_view)
+    seconds = user_chunks(stg, warehouse)
     fact.reject_conflicts(fact.event_ids(listen, page_view))
     plans = {
         "int_dim_date": dimensions.int_dim_date(listen),
@@ -220,5 +230,5 @@ def run_cycle(
     loaded = run_ingestion(spark, lake_dir, warehouse)
     size_shuffles(spark, stored_bytes(spark, f"{warehouse}/landing"))
     stg = {topic: extend_staging(spark, warehouse, topic) for topic in TOPICS}
-    users = extend_history(spark, warehouse)
+    users = extend_history(spark, warehouse, user_chunks(stg, warehouse))
     return loaded, _build(stg, users, warehouse, run_ts, tolerate)

@@ -14,11 +14,12 @@ from cadenza.functions.keys import exact, from_epoch_ms, surrogate_key
 from cadenza.operators import (
     dashboard, declared, dimensions, fact, history, marts, quality, reports, staging,
 )
+from cadenza.operators.ordered import Chunks, chunk_seconds_for, chunks_for
 from cadenza.plans.audit import audit_topic
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.session import shared_dir, prepare
 from cadenza.sources import events, increments, lake, landing, messages
-from cadenza.sources.paths import exists
+from cadenza.sources.paths import exists, make_dir
 from cadenza.sources.tables import read_table, store_fact
 from cadenza.streaming.decode import decode
 from cadenza.streaming.sink import finish, settle, start_topics
@@ -85,12 +86,27 @@ class Source:
     def page_view(self) -> DataFrame:
         return self.stg("page_view_events")
 
+    def chunks(self) -> Chunks:
+        """The chunks that the cycle would take for this data."""
+        def build(path: str) -> Chunks:
+            def keep(cuts: DataFrame) -> DataFrame:
+                cuts.write.parquet(path)
+                return self.spark.read.schema(cuts.schema).parquet(path)
+
+            events = _union(self.stg(t).select("userId", "ts") for t in TOPICS)
+            chunks = chunks_for(events, "userId", "ts", chunk_seconds_for(self.page_view), keep)
+            make_dir(self.spark, path)
+            return chunks
+
+        return _once(self.spark, self.sf_dir, "hot-chunks", build)
+
     def observations(self) -> DataFrame:
         return history.user_observations(*(self.stg(t) for t in TOPICS))
 
     def users(self) -> DataFrame:
         return history.int_dim_user(
-            self.stg("auth_events"), self.listen, self.page_view, self.stg("status_change_events")
+            self.stg("auth_events"), self.listen, self.page_view, self.stg("status_change_events"),
+            self.chunks(),
         )
 
     def int_dim(self, name: str) -> DataFrame:
@@ -115,6 +131,7 @@ class Source:
             locations=self.int_dim("dim_location"),
             sessions=self.int_dim("dim_session"),
             disjoint=True,  # periods end where the next one starts
+            seconds=self.chunks(),
         )
 
     def int_fact(self) -> DataFrame:
@@ -473,17 +490,17 @@ def _(s: Source) -> DataFrame:
 
 @_query("d8_change_flags")
 def _(s: Source) -> DataFrame:
-    return history.change_flags(s.observations())
+    return history.change_flags(s.observations(), seconds=s.chunks())
 
 
 @_query("d9_version_numbers")
 def _(s: Source) -> DataFrame:
-    return history.version_numbers(s.observations())
+    return history.version_numbers(s.observations(), seconds=s.chunks())
 
 
 @_query("d10_version_starts")
 def _(s: Source) -> DataFrame:
-    return history.version_starts(s.observations())
+    return history.version_starts(s.observations(), seconds=s.chunks())
 
 
 @_query("d11_int_dim_user")
@@ -501,13 +518,14 @@ def _(s: Source) -> DataFrame:
 
 @_query("f2_next_event")
 def _(s: Source) -> DataFrame:
-    return fact.next_event(fact.timeline(s.listen, s.page_view))
+    return fact.next_event(fact.timeline(s.listen, s.page_view), s.chunks())
 
 
 @_query("f3_end_time")
 def _(s: Source) -> DataFrame:
-    instants = fact.session_instants(fact.event_ids(s.listen, s.page_view), known_only=True)
-    return fact.attach_end_time(s.listen.select(*_PLAY), instants)
+    events_ = fact.event_ids(s.listen, s.page_view)
+    instants = fact.session_instants(events_, s.chunks(), known_only=True)
+    return fact.attach_end_time(s.listen.select(*_PLAY), instants, s.chunks())
 
 
 @_query("f4_date_lookup")
@@ -522,7 +540,7 @@ def _(s: Source) -> DataFrame:
 
 @_query("f6_scd2_lookup")
 def _(s: Source) -> DataFrame:
-    return fact.attach_user(s.listen.select(*_PLAY), s.int_dim("dim_user"))
+    return fact.attach_user(s.listen.select(*_PLAY), s.int_dim("dim_user"), seconds=s.chunks())
 
 
 @_query("f7_song_lookup")
@@ -549,8 +567,8 @@ def _(s: Source) -> DataFrame:
 
 @_query("f11_listened_seconds")
 def _(s: Source) -> DataFrame:
-    instants = fact.session_instants(fact.event_ids(s.listen, s.page_view))
-    plays = fact.attach_end_time(s.listen.select(*_PLAY), instants)
+    instants = fact.session_instants(fact.event_ids(s.listen, s.page_view), s.chunks())
+    plays = fact.attach_end_time(s.listen.select(*_PLAY), instants, s.chunks())
     return plays.select(
         *_PLAY, seconds_between(F.col("ts"), F.col("play_ended_at")).alias("listened_seconds")
     )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cadenza.operators import history, staging
 from cadenza.operators.digests import row_hash
-from cadenza.operators.ordered import CHUNK_SECONDS
+from cadenza.operators.ordered import CHUNK_SECONDS, Width
 from cadenza.schemas import EVENT_SCHEMAS, TOPICS
 from cadenza.sources import landing, versions
 from cadenza.sources.tables import Aside, table_path
@@ -124,7 +124,7 @@ def _seen(observations: DataFrame, base: DataFrame | None) -> DataFrame:
 
 
 def extend_history(
-    spark: SparkSession, warehouse: str, seconds: int = CHUNK_SECONDS
+    spark: SparkSession, warehouse: str, seconds: Width = CHUNK_SECONDS
 ) -> DataFrame:
     """The user dimension with the observations of the rows new to staging."""
     path = _history(warehouse)

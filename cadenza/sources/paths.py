@@ -55,6 +55,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.mkdirs(target)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, target = _fs(spark, path)
     stream = fs.open(target)

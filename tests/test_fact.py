@@ -2,10 +2,10 @@ import random
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from cadenza.operators import fact, quality
-from cadenza.operators.ordered import chunk_seconds_for
+from cadenza.operators import fact, history, quality
+from cadenza.operators.ordered import Chunks, chunk_seconds_for, chunks_for, with_chunk
 from conftest import at, dec, rows
 
 PAGE = ("ts timestamp, sessionId int, page string, itemInSession int, city string, zip string, "
@@ -289,6 +289,50 @@ def test_a_user_with_very_many_overlapping_versions(spark):
     assert all("_number" in line for line in plan.splitlines() if "Join Inner" in line)
 
 
+def kept(cuts):
+    return cuts.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+
+
+def test_a_burst_is_cut_in_time_order(spark):
+    """A third of all events by one user, another third without one, within the same minute."""
+    n = F.col("id")
+    events = spark.range(6000).select(
+        F.when(n % 3 == 0, 7).when(n % 3 == 1, 100 + n % 50).cast("int").alias("userId"),
+        F.lit(1).alias("sessionId"),
+        F.timestamp_micros(n * 9000 + 1_767_225_600_000_000).alias("ts"), n.cast("int").alias("itemInSession"),
+    )
+    chunks = chunks_for(events, "userId", "ts", 3600, kept, most=100)
+    sizes = with_chunk(events, "ts", chunks).groupBy("userId", "_chunk").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 200
+    assert {r[0] for r in chunks.splits.select("_who").collect()} == {7, None}
+    order = Window.partitionBy("userId").orderBy("ts")
+    numbered = with_chunk(events, "ts", chunks).withColumn("before", F.lag("_chunk").over(order))
+    assert numbered.filter(F.col("before") > F.col("_chunk")).isEmpty()
+    assert chunks_for(events, "userId", "ts", 3600, kept).splits is None
+    for cut in (chunks, Chunks(3600, chunks.splits, few=False)):
+        assert rows(fact.next_event(events, cut)) == rows(fact.next_event(events, 10_000_000))
+
+
+def test_cut_chunks_give_the_same_results(spark):
+    events = spark.createDataFrame(
+        random_events(), "userId int, sessionId int, ts timestamp, itemInSession int").repartition(3)
+    chunks = chunks_for(events, "userId", "ts", 100_000, kept, most=20)
+    assert chunks.splits.count() > 3
+    assert rows(fact.next_event(events, chunks)) == rows(fact.next_event(events))
+    instants = fact.session_instants(events, chunks, known_only=True)
+    plain = fact.session_instants(events, known_only=True)
+    assert rows(fact.attach_end_time(events, instants)) == rows(fact.attach_end_time(events, plain))
+    seen = events.select(
+        "ts", F.col("userId").alias("user_id"), *[F.lit(None).cast("string").alias(c)
+        for c in history.USER_ATTRIBUTES[:3]], (F.col("itemInSession") % 3).cast("string").alias("user_agent"),
+        F.lit(None).cast("timestamp").alias("registered_at"),
+    ).dropna(subset=["user_id"])
+    for build in (history.change_flags, history.version_numbers, history.effective_periods):
+        assert rows(build(seen, seconds=chunks)) == rows(build(seen))
+    users = history.keyed_periods(history.effective_periods(seen)).filter("start_time < end_time")
+    assert rows(fact.attach_user(events, users, True, chunks)) == rows(fact.attach_user(events, users, True))
+
+
 def test_chunk_width_follows_the_data(spark):
     hour = spark.range(3600).select(F.timestamp_seconds("id").alias("ts"))
     assert chunk_seconds_for(hour) == 86_400
