@@ -8,7 +8,8 @@ Only DataFrame functions are used.
    no item holds. So a word's type depends on no case or punctuation around it. The words of a text
    and of its template stay aligned. The words of the items come to the driver.
 2. Windows of ``WINDOW`` words (a shorter item is one window) meet by hash in an equi-join: the plain
-   words, and the template if it has a placeholder.
+   words, and the template if it has a placeholder and ``LEAST_PLAIN`` different plain words (of a
+   shorter window, the same share): placeholders alone, as in lists of numbers or names, say nothing.
    Items go to all tasks if their windows are few (counted first), else both sides are shuffled.
    Only documents that hold a seed are cut into windows: the seed of an item's window is its longest
    pair of adjacent plain words. A match needs several windows, so an item's weakest windows, one
@@ -39,6 +40,8 @@ WINDOW = 8
 SHORTEST = 5
 #: Windows on one diagonal: with eight words each, thirteen words in a row.
 COVERED = 6
+#: Different plain words that a template of WINDOW words must hold.
+LEAST_PLAIN = 3
 #: Windows of the items are sent to all tasks up to this many, of about 30 bytes each.
 MOST_BROADCAST = 1_000_000
 
@@ -133,9 +136,10 @@ def _rows(i: Column, width: Column, typed: Column) -> Column:
     template = F.struct(
         place, F.xxhash64(F.slice("codes", i + 1, width)).alias("hash"), slots.alias("slots")
     )
-    return F.when(typed & F.exists(some, lambda t: t > 0), F.array(plain, template)).otherwise(
-        F.array(plain)
-    )
+    said = F.zip_with(F.slice("words", i + 1, width), some, lambda w, t: F.when(t == 0, w))
+    told = F.size(F.array_distinct(F.filter(said, lambda w: w.isNotNull())))
+    good = F.exists(some, lambda t: t > 0) & (told * WINDOW >= LEAST_PLAIN * width)
+    return F.when(typed & good, F.array(plain, template)).otherwise(F.array(plain))
 
 
 def windows(found: DataFrame, key: list[str], short: bool) -> DataFrame:

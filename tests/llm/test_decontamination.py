@@ -38,8 +38,12 @@ def test_finds_copies_and_reparameterised_ones(spark):
 
 def test_shuffled_join_and_items_without_seeds(spark, monkeypatch):
     items = [*ITEMS, (8, "1 2 3 4 5 6 7 8 9 10 11 12 13 14"), (8, "1 2 3 4 5 6 7 8 9 10 11 12 13 14")]
-    rows = [*DOCS, (30, "21 22 23 24 25 26 27 28 29 30 31 32 33 34")]
-    want = {(r.doc_id, r.item_id) for r in found(spark, DOCS, ITEMS)} | {(30, 8)}
+    rows = [
+        *DOCS, (30, "21 22 23 24 25 26 27 28 29 30 31 32 33 34"),
+        (31, "so 1 2 3 4 5 6 7 8 9 10 11 12 13 14 15"),
+    ]
+    # The same numbers are a copy, as many others are none.
+    want = {(r.doc_id, r.item_id) for r in found(spark, DOCS, ITEMS)} | {(31, 8)}
     monkeypatch.setattr(dc, "MOST_BROADCAST", 0)
     assert {(r.doc_id, r.item_id) for r in found(spark, rows, items)} == want
 
@@ -89,3 +93,30 @@ def test_one_edited_value_does_not_hide_equal_windows(spark):
     assert got[1].n_matched == whole == len(text.split()) - 7
     assert got[2].n_matched == whole - 4 and got[3].n_matched == whole - 8
     assert not any(r.reparameterised for r in got.values())
+
+
+def test_placeholders_alone_match_nothing(spark):
+    words = [
+        "the", "of", "and", "to", "in", "is", "that", "for", "it", "as", "was", "with", "be", "by", "on",
+        "not", "he", "his", "but", "at", "are", "this", "have", "from", "or", "had", "an", "they",
+        "which", "one", "you", "were", "all", "her", "she", "there", "would", "their", "we", "him",
+    ]
+    title = " ".join(w.title() for w in words)
+    items = [
+        (1, "12 17 23 31 44 58 62 75 81 93 104 117 128"),
+        (2, "We saw Rome Paris London Berlin Madrid Vienna Prague Warsaw Lisbon Dublin Athens Oslo Bern"),
+        (3, title), (4, "Guests Anna and Peter and Maria and Tom and Lisa and Paul and Eva and Karl"),
+    ]
+    rows = [
+        (1, "99 98 97 96 95 94 93 92 91 90 89 88 87"),
+        (2, "We saw Hans Ruth Emil Otto Ida Kurt Anton Frieda Gustav Helga Irma Jonas Klara"),
+        (3, " ".join(reversed(words))), (4, " ".join(reversed(words)).title()),
+        (5, "Guests Ruth and Emil and Ida and Otto and Kurt and Irma and Hans and Jens"),
+        (6, " ".join(words[20:] + words[:20]).upper()),
+        (11, f"Numbers: {items[0][1]}."), (12, items[1][1].lower()), (13, title.lower()),
+        (14, items[3][1].upper()),
+    ]
+    got = {(r.doc_id, r.item_id, r.reparameterised) for r in found(spark, rows, items)}
+    # Equal words in another order share long runs, which count as such.
+    runs = {(6, 3, False)}
+    assert got == {(11, 1, False), (12, 2, False), (13, 3, False), (14, 4, False)} | runs
