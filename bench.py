@@ -33,7 +33,7 @@ HEADLINE = [
     "f2_next_event", "f6_scd2_lookup", "f7_song_lookup", "f12_int_fact_song_play",
     "m1_dim_user", "m13_changed_rows", "m14_upsert", "p1_song_plays",
     "r3_summary", "r5_top_songs", "r6_top_song_per_gender", "r7_heatmap", "r8_daily_trend",
-    "r13_report_bundle", "q1_declared_marts", "q4_relationships", "q9_fact_not_preserved",
+    "r13_report_bundle", "q4_relationships", "q9_fact_not_preserved",
     "s2_decode", "s4_stream_sink", "s8_landing_rows", "q12_reconcile_rows",
     "q12_reconcile_lineitem",
 ]
