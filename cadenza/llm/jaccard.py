@@ -6,17 +6,21 @@ shingles of every set in one global order, linked sets x and y share at least k
 shingles last, by a fixed-size count sketch over all documents; it need not be exact, as any order
 is lossless.
 
-1. Sketch, size and identity (a 64-bit hash) of each set. Equal sets are one node from here on.
+1. Sketch, size, identity (a 64-bit hash) and signature of each set. Equal sets are one node from
+   here on. The signature has one bit for each value of a hash, flipped by each shingle: two
+   signatures differ in at most as many bits as their sets in shingles, so it rules pairs out and
+   never loses one.
 2. Each node estimates the candidates its prefix would bring, and lengthens the prefix while that
    is worth it: with k - 1 more shingles it asks for k shared ones. Two nodes use the smaller k.
 3. Prefix shingles meet by value, in order, as a stream: a task holds one list. A short list gives
    all its pairs; a long list (salted if the sketch says that it is very long) links every node to
    the first one only, and is kept for step 5.
-4. Candidates are verified on whole sets: first the best one of each node, then of each two
-   components, then those that still join two components.
+4. Candidates that the signatures allow are verified on whole sets: first the best one of each
+   node, then of each two components, then those that still join two components.
 5. In long lists, pairs of nodes that are in different components are candidates too, so no link
-   between components is lost; pairs inside a component need no check. A group of thousands of
-   near copies costs a few checks for each member, not all pairs.
+   between components is lost; pairs inside a component need no check. Lists are compared in blocks,
+   a very long one in several tasks, and only pairs that size, places and signatures allow leave a
+   task. A group of thousands of near copies costs a few checks for each member, not all pairs.
 
 Result: one row per document row. Cases: a missing or empty text has an empty set, links with
 nothing and is its own component; fewer than five words are one shingle; repeated rows are kept
@@ -52,6 +56,10 @@ SALTED = 128
 MOST_MATCHES = (1 << 16) - 1
 CHANCE, ROW = 0.05, 4.0
 FILTER_BITS = 23
+#: Bits of a signature: four for each shingle within these limits; at most ROW_BITS in a list.
+LEAST_BITS, MOST_BITS, ROW_BITS = 1 << 8, 1 << 13, 1 << 9
+#: Rows of one block of a long list, about.
+BLOCK = 4096
 _NONE = -(1 << 63)
 
 
@@ -76,6 +84,47 @@ def node_of(members: np.ndarray) -> int:
     return int(h.view(np.int64)[0]) or 1
 
 
+def signature(members: np.ndarray) -> bytes:
+    """A bit for each value of a hash, set if an odd number of members has that value."""
+    bits = min(max(LEAST_BITS, 1 << (4 * len(members)).bit_length()), MOST_BITS)
+    hits = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((hits & 1).astype(np.uint8)).tobytes()
+
+
+def folded(signatures: np.ndarray, width: int) -> np.ndarray:
+    """Signatures (one a row) as those of fewer bytes."""
+    rows, size = signatures.shape
+    return np.bitwise_xor.reduce(signatures.reshape(rows, size // width, width), axis=1)
+
+
+class Signatures:
+    """Signatures of several sizes, as one matrix for each width, with the wider ones folded."""
+
+    def __init__(self, raw: list[bytes]):
+        self.width = np.array([len(r) for r in raw], np.int64)
+        self.row: dict[int, np.ndarray] = {}
+        self.of: dict[int, np.ndarray] = {}
+        for width in np.unique(self.width).tolist():
+            at = np.flatnonzero(self.width >= width)
+            self.row[width] = np.zeros(len(raw), np.int64)
+            self.row[width][at] = np.arange(len(at))
+            self.of[width] = np.vstack([
+                folded(np.frombuffer(raw[k], np.uint8)[None], width) for k in at.tolist()
+            ])
+
+    def allow(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Whether pairs of rows may link; n is the sum of their sizes."""
+        keep = np.zeros(len(a), bool)
+        width = np.minimum(self.width[a], self.width[b])
+        for w in np.unique(width).tolist():
+            at, row, bits = np.flatnonzero(width == w), self.row[w], self.of[w].view(np.uint64)
+            for part in np.array_split(at, len(at) // 65536 + 1):
+                apart = np.bitwise_count(bits[row[a[part]]] ^ bits[row[b[part]]]).sum(1, dtype=np.int64)
+                # Sets link if 4 both >= 3 (n - both), and differ in n - 2 both shingles.
+                keep[part] = (WHOLE + PART) * apart <= (WHOLE - PART) * n[part]
+        return keep
+
+
 def prefix_size(n: int) -> int:
     return n - -(-PART * n // WHOLE) + 1
 
@@ -86,21 +135,28 @@ def _each_set(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray
 
 
 def profiles(texts: DataFrame) -> DataFrame:
-    """doc_id, n, node of each document row."""
+    """doc_id, n, node, signature (also a shorter one) of each document row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low, high, sets in _each_set(batch):
+                signed = [signature(s) for s in sets]
+                most = ROW_BITS // 8
+                short = [
+                    s if len(s) <= most else folded(np.frombuffer(s, np.uint8)[None], most).tobytes()
+                    for s in signed
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(low, high - low),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([node_of(s) for s in sets], pa.int64()),
+                        pa.array(signed, pa.binary()), pa.array(short, pa.binary()),
                     ],
-                    ["doc_id", "n", "node"],
-                )
+                    ["doc_id", "n", "node", "signed", "short"],
+                )
 
-    return texts.mapInArrow(work, "doc_id long, n long, node long")
+    return texts.mapInArrow(work, "doc_id long, n long, node long, signed binary, short binary")
 
 
 def sketch(texts: DataFrame) -> np.ndarray:
@@ -141,19 +197,24 @@ def matches(levels: np.ndarray, n: int) -> int:
 
 
 def prefixes(texts: DataFrame, level: np.ndarray) -> DataFrame:
-    """node, n, matches, prefix (hashes in order) of each different set."""
+    """node, n, matches, prefix (hashes in order) of each different set of a task. A set that
+    several tasks hold comes from each; its rows stand side by side in the lists and merge there."""
     shared = texts.sparkSession.sparkContext.broadcast(level)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = shared.value
+        level, seen = shared.value, set()
         for batch in batches:
             for _, _, sets in _each_set(batch):
                 rows = []
-                for members in {node_of(s): s for s in sets if len(s)}.values():
+                for members in sets:
+                    node = node_of(members)
+                    if not len(members) or node in seen:
+                        continue
+                    seen.add(node)
                     order, levels = ordered(members, level)
                     k = matches(levels, len(members))
                     prefix = order[: prefix_size(len(members)) + k - 1]
-                    rows.append((node_of(members), len(members), k, prefix.tobytes()))
+                    rows.append((node, len(members), k, prefix.tobytes()))
                 if rows:
                     columns = zip(*rows)
                     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
@@ -162,11 +223,7 @@ def prefixes(texts: DataFrame, level: np.ndarray) -> DataFrame:
                         ["node", "n", "matches", "prefix"],
                     )
 
-    found = texts.select("text").mapInArrow(work, "node long, n long, matches int, prefix binary")
-    return found.groupBy("node").agg(
-        F.first("n").alias("n"), F.first("matches").alias("matches"),
-        F.first("prefix").alias("prefix"),
-    )
+    return texts.select("text").mapInArrow(work, "node long, n long, matches int, prefix binary")
 
 
 def _packed(n: np.ndarray, entry: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -226,7 +283,11 @@ class Lists:
         self.pairs.append(found[:, keep])
 
     def take(self, rows: np.ndarray, last: bool) -> np.ndarray:
-        """Handle the complete lists of rows (token, salt, node, meta by row); return the rest."""
+        """Handle the complete lists of rows (token, salt, node, meta by row); return the rest. Equal
+        rows (a set from several tasks) count once."""
+        fresh = np.ones(rows.shape[1], bool)
+        fresh[1:] = (rows[:3, 1:] != rows[:3, :-1]).any(0)
+        rows = rows[:, fresh]
         total = rows.shape[1]
         if not total:
             return rows
@@ -281,6 +342,126 @@ def meet(rows: DataFrame) -> DataFrame:
     )
 
 
+class Blocks:
+    """Rows of long lists, cut into blocks against blocks; gives pairs of different components."""
+
+    COLUMNS = ("token", "u", "v", "side", "node", "component", "meta")
+
+    def __init__(self):
+        self.found: list[np.ndarray] = []
+
+    def _compare(self, rows: np.ndarray, signed: list[bytes]) -> None:
+        _, u, v, side, node, component, meta = rows
+        n, entry, asked = meta >> 32, meta >> 16 & 0xFFFF, meta & 0xFFFF
+        same = u[0] == v[0]
+        left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
+        signatures = None
+        for low in range(0, len(left), 256):
+            x, y = left[low : low + 256, None], right[None]
+            able = component[x] != component[y]
+            if same:
+                able &= x < y
+            able &= PART * np.maximum(n[x], n[y]) <= WHOLE * np.minimum(n[x], n[y])
+            able &= np.maximum(entry[x], entry[y]) <= np.minimum(asked[x], asked[y])
+            i, j = np.nonzero(able)
+            if not len(i):
+                continue
+            signatures = signatures or Signatures(signed)
+            a, b = left[low + i], right[j]
+            keep = signatures.allow(a, b, n[a] + n[b])
+            a, b = a[keep], b[keep]
+            ends = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+            self.found.append(np.stack([*ends, np.minimum(asked[a], asked[b])]))
+
+    def take(
+        self, rows: np.ndarray, signed: list[bytes], last: bool
+    ) -> tuple[np.ndarray, list[bytes]]:
+        """Compare the complete blocks; return the rest."""
+        if not rows.shape[1]:
+            return rows, signed
+        change = (rows[:3, 1:] != rows[:3, :-1]).any(0)
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist()] + [rows.shape[1]] * last
+        for low, high in zip(cuts, cuts[1:]):
+            self._compare(rows[:, low:high], signed[low:high])
+        return (rows[:, :0], []) if last else (rows[:, cuts[-1] :], signed[cuts[-1] :])
+
+    def pairs(self) -> pa.RecordBatch | None:
+        found, self.found = self.found, []
+        if not found:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in np.hstack(found)], ["a", "b", "asked"])
+
+
+def crossing(long: DataFrame, labels: DataFrame, profile: DataFrame) -> DataFrame:
+    """a, b, asked: pairs of different components in the long lists, once for each list, that size,
+    places and signatures allow."""
+    rows = stored(
+        long.join(labels, "node", "left").select(
+            "token", "node", "meta", F.coalesce("component", "node").alias("component")
+        ),
+        "long",
+    )
+    split = rows.groupBy("token").agg(
+        F.min("component").alias("p"), F.max("component").alias("q"),
+        F.ceil(F.count("*") / BLOCK).alias("blocks"),
+    )
+    rows = stored(rows.join(split.where("p <> q").select("token", "blocks"), "token"), "split-lists")
+    ends = rows.select("node").distinct()
+    signed = profile.join(ends, "node").groupBy("node").agg(F.min("short").alias("short"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    placed = (
+        rows.join(signed, "node")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .withColumn("other", other)
+        .withColumn("u", F.least("own", "other"))
+        .withColumn("v", F.greatest("own", "other"))
+        .withColumn("side", (F.col("own") != F.col("u")).cast("long"))
+        .select(*Blocks.COLUMNS, "short")
+        .repartition("token", "u", "v")
+        .sortWithinPartitions("token", "u", "v")
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, rest, signed = Blocks(), np.zeros((len(Blocks.COLUMNS), 0), np.int64), []
+        for batch in batches:
+            fresh = np.stack([
+                batch.column(c).to_numpy(zero_copy_only=False) for c in Blocks.COLUMNS
+            ])
+            signed = signed + batch.column("short").to_pylist()
+            rest, signed = blocks.take(np.hstack([rest, fresh]), signed, False)
+            if (out := blocks.pairs()) is not None:
+                yield out
+        blocks.take(rest, signed, True)
+        if (out := blocks.pairs()) is not None:
+            yield out
+
+    return placed.mapInArrow(work, "a long, b long, asked long")
+
+
+def allowed(pairs: DataFrame, profile: DataFrame) -> DataFrame:
+    """The pairs (a, b and more) that the signatures of their nodes allow."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    signed = profile.join(ends, "node").groupBy("node").agg(
+        F.min("n").alias("n"), F.min("signed").alias("signed")
+    )
+    kept = pairs.schema
+    for end in ("a", "b"):
+        named = [F.col("node").alias(end), F.col("n").alias(f"__n{end}")]
+        pairs = pairs.join(signed.select(*named, F.col("signed").alias(f"__s{end}")), end)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            count = batch.num_rows
+            both = [r for end in "ab" for r in batch.column(f"__s{end}").to_pylist()]
+            n = batch.column("__na").to_numpy() + batch.column("__nb").to_numpy()
+            row = np.arange(count)
+            keep = Signatures(both).allow(row, row + count, n)
+            yield batch.select(kept.names).filter(pa.array(keep))
+
+    return pairs.mapInArrow(work, kept)
+
+
 def verified(pairs: DataFrame, texts: DataFrame, profile: DataFrame) -> DataFrame:
     """Pairs (a, b) whose whole sets are similar enough. Only the sets of their ends are made."""
     pairs = stored(pairs.select("a", "b"), "pairs")
@@ -357,7 +538,8 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
     shared = lists.where("k = 0").groupBy("a", "b").agg(
         F.count("*").alias("found"), F.min("c").alias("asked"), F.sum(1 - F.col("d")).alias("short")
     )
-    candidates = stored(shared.where("found >= asked"), "candidates")
+    promising = stored(shared.where("found >= asked"), "promising")
+    candidates = stored(allowed(promising, profile), "candidates")
     long = lists.where("k = 1").select(
         F.col("a").alias("token"), F.col("c").alias("node"), F.col("d").alias("meta")
     )
@@ -376,37 +558,17 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
         edges = edges.union(verified(left, texts, profile))
         labels = components(edges)
 
-    rows = long.join(labels, "node", "left").select(
-        "token", "node", "meta", F.coalesce("component", "node").alias("component")
-    )
-    split = rows.groupBy("token").agg(F.min("component").alias("p"), F.max("component").alias("q"))
-    rows = stored(rows.join(split.where("p <> q").select("token"), "token"), "split-lists")
-    left, right = (
-        rows.select(
-            "token", F.col("node").alias(end), F.col("component").alias(f"of_{end}"),
-            F.shiftright("meta", 32).alias(f"n_{end}"),
-            F.shiftright("meta", 16).bitwiseAND(F.lit(0xFFFF)).alias(f"entry_{end}"),
-            F.col("meta").bitwiseAND(F.lit(0xFFFF)).alias(f"asked_{end}"),
-        )
-        for end in ("a", "b")
-    )
-    asked = F.least("asked_a", "asked_b")
-    across = (
-        left.join(right, "token")
-        .where("a < b and of_a <> of_b")
-        .where(PART * F.greatest("n_a", "n_b") <= WHOLE * F.least("n_a", "n_b"))
-        .where(F.greatest("entry_a", "entry_b") <= asked)
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("found"), F.min(asked).alias("asked"))
+    across = crossing(long, labels, profile).groupBy("a", "b").agg(
+        F.count("*").alias("found"), F.min("asked").alias("asked")
     )
     # Lists that gave pairs at once count as well, and checked pairs need no second check.
     before = shared.where("found < asked and short > 0").select("a", "b", "short")
     across = across.join(before, ["a", "b"], "left").join(
-        candidates.select("a", "b"), ["a", "b"], "left_anti"
+        promising.select("a", "b"), ["a", "b"], "left_anti"
     )
     across = across.where("found + coalesce(short, 0) >= asked")
     edges = edges.union(verified(across, texts, profile))
-    dropped(lists, candidates, rows)
+    dropped(lists, promising, candidates)
     return components(edges)
 
 

@@ -2,6 +2,8 @@ import itertools
 import random
 import re
 
+import numpy as np
+
 from cadenza.llm import jaccard
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -70,6 +72,7 @@ def test_groups_equal_all_pairs(spark, documents):
 
 def test_long_lists_lose_no_link(spark, documents, monkeypatch):
     monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)  # several blocks a list
     monkeypatch.setattr(jaccard, "sketch", lambda texts: _levels())
     rows = corpus()
     got = jaccard.grouped(documents(*rows))
@@ -77,8 +80,40 @@ def test_long_lists_lose_no_link(spark, documents, monkeypatch):
     assert sorted(got, key=key) == sorted(expected(rows), key=key)
 
 
+def test_signatures_rule_out_no_link():
+    rng = np.random.default_rng(3)
+    for size in (1, 7, 60, 300, 5_000):
+        x = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        for edits in (0, 1, size // 9, size // 8, size // 7, size // 4, size):
+            y = np.unique(np.concatenate([x[edits:], rng.integers(0, 1 << 63, edits).astype(np.uint64)]))
+            raw = [jaccard.signature(s) for s in (x, y)]
+            n = np.array([len(x) + len(y)])
+            able = jaccard.Signatures(raw).allow(np.array([0]), np.array([1]), n)[0]
+            both = len(np.intersect1d(x, y))
+            assert able or 4 * both < 3 * (n[0] - both)
+            if edits == size and 20 < size <= 300:
+                assert not able
+
+
+def test_passage_of_thousands_of_different_documents():
+    """Documents that share a passage but are no near copies: few pairs leave a block."""
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 1 << 63, 70).astype(np.uint64)
+    sets = [np.concatenate([passage, rng.integers(0, 1 << 63, 40).astype(np.uint64)]) for _ in range(1_500)]
+    sets.append(np.concatenate([sets[0][:-3], passage[:1] + np.uint64(1)]))
+    n = np.array([len(s) for s in sets])
+    node = np.arange(len(sets))
+    meta = jaccard._packed(n, np.ones(len(sets), int), np.ones(len(sets), int))
+    zero = np.zeros(len(sets), int)
+    blocks = jaccard.Blocks()
+    rows = np.stack([zero, zero, zero, zero, node, node, meta])
+    rest, _ = blocks.take(rows, [jaccard.signature(s) for s in sets], True)
+    found = np.hstack(blocks.found)
+    pairs = set(zip(found[0].tolist(), found[1].tolist()))
+    assert rest.shape[1] == 0 and (0, 1_500) in pairs and len(pairs) < 1_500
+
+
 def _levels():
-    import numpy as np
 
     return np.random.default_rng(1).integers(0, 4, 1 << jaccard.SKETCH_BITS).astype(np.uint8)
 
