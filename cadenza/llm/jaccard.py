@@ -20,7 +20,9 @@ is lossless.
 5. In long lists, pairs of nodes that are in different components are candidates too, so no link
    between components is lost; pairs inside a component need no check. Lists are compared in blocks,
    a very long one in several tasks, and only pairs that size, places and signatures allow leave a
-   task. A group of thousands of near copies costs a few checks for each member, not all pairs.
+   task: first one pair for each node, with the partner that has most partners itself, so that what
+   links widely is one component; then all pairs of the components that are left. A group of
+   thousands of near copies costs a few checks for each member, not all pairs.
 
 Result: one row per document row. Cases: a missing or empty text has an empty set, links with
 nothing and is its own component; fewer than five words are one shingle; repeated rows are kept
@@ -59,7 +61,7 @@ FILTER_BITS = 23
 #: Bits of a signature: four for each shingle within these limits; at most ROW_BITS in a list.
 LEAST_BITS, MOST_BITS, ROW_BITS = 1 << 8, 1 << 13, 1 << 9
 #: Rows of one block of a long list, about.
-BLOCK = 4096
+BLOCK = 2048
 _NONE = -(1 << 63)
 
 
@@ -347,7 +349,9 @@ class Blocks:
 
     COLUMNS = ("token", "u", "v", "side", "node", "component", "meta")
 
-    def __init__(self):
+    def __init__(self, hubs: bool = False):
+        #: One pair for each row only: with the partner that has most partners.
+        self.hubs = hubs
         self.found: list[np.ndarray] = []
 
     def _compare(self, rows: np.ndarray, signed: list[bytes]) -> None:
@@ -356,7 +360,7 @@ class Blocks:
         same = u[0] == v[0]
         left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
         right = left if same else np.flatnonzero(side == 1)
-        signatures = None
+        signatures, kept = None, []
         for low in range(0, len(left), 256):
             x, y = left[low : low + 256, None], right[None]
             able = component[x] != component[y]
@@ -370,9 +374,21 @@ class Blocks:
             signatures = signatures or Signatures(signed)
             a, b = left[low + i], right[j]
             keep = signatures.allow(a, b, n[a] + n[b])
-            a, b = a[keep], b[keep]
-            ends = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-            self.found.append(np.stack([*ends, np.minimum(asked[a], asked[b])]))
+            kept.append(np.stack([a[keep], b[keep]]).astype(np.int32))
+        if not kept:
+            return
+        a, b = np.hstack(kept)
+        if self.hubs:
+            degree = np.bincount(a, minlength=len(node)) + np.bincount(b, minlength=len(node))
+            rank = np.empty(len(node), np.int64)
+            rank[np.lexsort((node, degree))] = np.arange(len(node))
+            best = np.full(len(node), -1)
+            np.maximum.at(best, a, rank[b])
+            np.maximum.at(best, b, rank[a])
+            a = np.flatnonzero(best >= 0)
+            b = np.argsort(rank)[best[a]]
+        ends = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+        self.found.append(np.stack([*ends, np.minimum(asked[a], asked[b])]))
 
     def take(
         self, rows: np.ndarray, signed: list[bytes], last: bool
@@ -393,9 +409,11 @@ class Blocks:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in np.hstack(found)], ["a", "b", "asked"])
 
 
-def crossing(long: DataFrame, labels: DataFrame, profile: DataFrame) -> DataFrame:
+def crossing(
+    long: DataFrame, labels: DataFrame, profile: DataFrame, hubs: bool = False
+) -> DataFrame:
     """a, b, asked: pairs of different components in the long lists, once for each list, that size,
-    places and signatures allow."""
+    places and signatures allow; with ``hubs``, at most one for each row."""
     rows = stored(
         long.join(labels, "node", "left").select(
             "token", "node", "meta", F.coalesce("component", "node").alias("component")
@@ -423,7 +441,7 @@ def crossing(long: DataFrame, labels: DataFrame, profile: DataFrame) -> DataFram
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, rest, signed = Blocks(), np.zeros((len(Blocks.COLUMNS), 0), np.int64), []
+        blocks, rest, signed = Blocks(hubs), np.zeros((len(Blocks.COLUMNS), 0), np.int64), []
         for batch in batches:
             fresh = np.stack([
                 batch.column(c).to_numpy(zero_copy_only=False) for c in Blocks.COLUMNS
@@ -558,6 +576,14 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
         edges = edges.union(verified(left, texts, profile))
         labels = components(edges)
 
+    hubs = crossing(long, labels, profile, True).groupBy("a", "b").agg(F.count("*").alias("found"))
+    hubs = stored(hubs, "hubs")
+    ends = hubs.select(F.col("a").alias("of"), better.alias("p")).union(
+        hubs.select("b", better)
+    )
+    best = ends.groupBy("of").agg(F.max("p").alias("p")).select("p.*").distinct()
+    edges = edges.union(verified(best, texts, profile))
+    labels = components(edges)
     across = crossing(long, labels, profile).groupBy("a", "b").agg(
         F.count("*").alias("found"), F.min("asked").alias("asked")
     )
@@ -568,7 +594,7 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
     )
     across = across.where("found + coalesce(short, 0) >= asked")
     edges = edges.union(verified(across, texts, profile))
-    dropped(lists, promising, candidates)
+    dropped(lists, promising, candidates, hubs)
     return components(edges)
 
 

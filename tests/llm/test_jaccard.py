@@ -113,8 +113,22 @@ def test_passage_of_thousands_of_different_documents():
     assert rest.shape[1] == 0 and (0, 1_500) in pairs and len(pairs) < 1_500
 
 
-def _levels():
+def test_near_copies_of_one_list_give_one_pair_each():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 120).astype(np.uint64)
+    sets = [base]
+    for _ in range(800):
+        sets.append(np.concatenate([base[rng.integers(5, 20) :], rng.integers(0, 1 << 63, 5).astype(np.uint64)]))
+    n = np.array([len(s) for s in sets])
+    node, zero, one = np.arange(len(sets)), np.zeros(len(sets), int), np.ones(len(sets), int)
+    blocks = jaccard.Blocks(hubs=True)
+    rows = np.stack([zero, zero, zero, zero, node, node, jaccard._packed(n, one, one)])
+    blocks.take(rows, [jaccard.signature(s) for s in sets], True)
+    a, b, _ = np.hstack(blocks.found)
+    assert len(a) <= len(sets) and set(a.tolist()) | set(b.tolist()) == set(range(len(sets)))
 
+
+def _levels():
     return np.random.default_rng(1).integers(0, 4, 1 << jaccard.SKETCH_BITS).astype(np.uint8)
 
 
