@@ -175,10 +175,7 @@ class Source:
         """The events streamed through the decoder into a lake, all topics, once per session."""
 
         def build(path: str) -> str:
-            stream = events.describe(
-                events.event_stream(self.spark, self.sf_dir),
-                *(self.table(n) for n in ("part", "nation", "region")),
-            )
+            stream = events.described_stream(self.spark, self.sf_dir)
             finish(
                 start_topics(
                     self.spark,
@@ -289,10 +286,7 @@ def _(s: Source) -> DataFrame:
 def _(s: Source) -> DataFrame:
     # Four queries at once; one meets a record that stops it and leaves the others alone.
     def build(path: str) -> DataFrame:
-        stream = events.describe(
-            events.event_stream(s.spark, s.sf_dir),
-            *(s.table(n) for n in ("part", "nation", "region")),
-        )
+        stream = events.described_stream(s.spark, s.sf_dir)
 
         def read(topic: str) -> DataFrame:
             rows = events.broker_rows(stream, topic)

@@ -20,6 +20,8 @@ from cadenza.sources.paths import is_dir
 PLAY_TYPES = ["click", "view", "purchase"]
 DELIVERY_COLUMNS = ["topic", "partition", "offset", "kafka_timestamp"]
 _NEW_YEAR_MS = 1704067200000  # 2024-01-01
+#: Events of one task of the lake's writer: it sorts whole records, of up to 2 kB each, by their day.
+ROWS_PER_TASK = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +39,18 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 1000
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
+def described_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``describe`` over the event stream, in tasks that hold a bounded number of events, near in
+    time, whatever the files are cut into: a task writes a few of the daily folders. Songs are
+    merged, as they grow with the table: a broadcast would pass through the driver for each topic."""
+    events, part, nation, region = (
+        table(spark, sf_dir, n) for n in ("events", "part", "nation", "region")
+    )
+    tasks = max(-(-events.count() // ROWS_PER_TASK), spark.sparkContext.defaultParallelism)
+    stream = describe(event_stream(spark, sf_dir), part.hint("merge"), nation, region)
+    return stream.repartitionByRange(tasks, "ts", "event_id")
+
+
 def describe(events: DataFrame, part: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One row per event with every field a topic may need."""
     parts = part.select(F.count(F.lit(1))).scalar()

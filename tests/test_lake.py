@@ -96,6 +96,27 @@ def test_stream_again_adds_nothing(spark, lake_dir):
     assert spark.read.parquet(f"{lake_dir}/auth_events").count() == before
 
 
+def test_the_lake_is_written_in_bounded_tasks(spark, described, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(events, "ROWS_PER_TASK", 100)
+    stream = events.described_stream(spark, TINY)
+    stream.explain()
+    assert "SortMergeJoin" in capsys.readouterr().out
+    topic = "page_view_events"
+    sink.finish(
+        sink.start_topics(
+            spark, lambda t: events.broker_rows(stream, t), f"{tmp_path}/lake",
+            f"{tmp_path}/checkpoint", topics=[topic], trigger=None,
+        )
+    )
+    # One file of events, ten tasks; each writes the days of its own stretch of time.
+    files = [(int(p.name.split("-")[1]), p.parent) for p in tmp_path.glob("lake/**/*.parquet")]
+    assert len({task for task, _ in files}) >= 8
+    assert len(files) <= 10 + len({day for _, day in files})
+    columns = ["partition", "offset", "userId", "song"]
+    written = spark.read.parquet(f"{tmp_path}/lake/{topic}")
+    assert rows(written, *columns) == rows(events.deliveries(described, topic), *columns)
+
+
 def test_an_interrupt_stops_every_query(spark, tmp_path, monkeypatch):
     stream = events.describe(
         events.event_stream(spark, TINY),
