@@ -184,19 +184,33 @@ def reconcile_rows(source: DataFrame, target: DataFrame) -> DataFrame:
             for side in (source, target)
         )
         groups = _by_bucket(old, new)
-        surplus = _surplus(_in_unequal(old, groups), _in_unequal(new, groups)).agg(
+        # A bucket that one side lacks needs no comparison: all its rows are missing, or extra.
+        both = groups.filter((F.col("left_rows") > 0) & (F.col("right_rows") > 0))
+        surplus = _surplus(_in_unequal(old, both), _in_unequal(new, both)).agg(
             F.struct(
                 F.sum(F.greatest("surplus", F.lit(0))).alias("missing_rows"),
                 F.sum(F.greatest(-F.col("surplus"), F.lit(0))).alias("extra_rows"),
             )
         )
         totals = groups.agg(
-            F.sum("left_rows").alias("source_rows"), F.sum("right_rows").alias("target_rows")
+            F.sum("left_rows").alias("source_rows"),
+            F.sum("right_rows").alias("target_rows"),
+            F.sum(F.when(F.col("right_rows") == 0, F.col("left_rows"))).alias("_missing"),
+            F.sum(F.when(F.col("left_rows") == 0, F.col("right_rows"))).alias("_extra"),
         ).select("*", surplus.scalar().alias("_found"))
-        totals = totals.select("source_rows", "target_rows", "_found.*")
+        counted = {
+            "source_rows": ["source_rows"],
+            "target_rows": ["target_rows"],
+            "missing_rows": ["_missing", "_found.missing_rows"],
+            "extra_rows": ["_extra", "_found.extra_rows"],
+        }
         totals = totals.select(
-            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in totals.columns]
-        )
+            *[
+                reduce(Column.__add__, [F.coalesce(c, F.lit(0)) for c in parts])
+                .cast("bigint").alias(name)
+                for name, parts in counted.items()
+            ]
+        )
     else:
         # Rows cannot be compared without the columns: counts only.
         totals = source.agg(F.count(F.lit(1)).alias("source_rows")).select(

@@ -105,6 +105,21 @@ def test_row_reconciliation(spark, target, missing, extra):
     assert tuple(found) == (5, len(target), missing, extra, "", not missing and not extra)
 
 
+def test_rows_without_any_partner_are_counted_not_compared(spark, monkeypatch):
+    compared, plain = [], quality._in_unequal
+
+    def watched(df, groups):
+        compared.append(groups.filter(~F.col("equal")).count())
+        return plain(df, groups)
+
+    monkeypatch.setattr(quality, "_in_unequal", watched)
+    full, none = (spark.createDataFrame(r, SCHEMA) for r in ([*ROWS, ROWS[0]], []))
+    assert tuple(quality.reconcile_rows(full, none).first()) == (6, 0, 6, 0, "", False)
+    assert tuple(quality.reconcile_rows(none, full).first()) == (0, 6, 0, 6, "", False)
+    assert tuple(quality.reconcile_rows(none, none).first()) == (0, 0, 0, 0, "", True)
+    assert compared == [0] * 6
+
+
 def test_type_and_column_differences(spark):
     source = spark.createDataFrame(ROWS, SCHEMA)
     wide = source.withColumn("id", F.col("id").cast("bigint"))
