@@ -32,6 +32,7 @@ the vocabulary does not hold are an error.
 from __future__ import annotations
 
 import base64
+import gc
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -237,25 +238,42 @@ class BytePairs:
             if "\n" not in t and not t[1:2].isspace() and not t[-1:].isspace()
         ]
         cut = self.pieces("\n".join([texts[k] for k in lines]))
-        ends = [k for k, p in enumerate(cut) if p == "\n"] + [len(cut)]
-        found: list[list[str]] = [[]] * len(texts)
-        if len(ends) == len(lines):
-            for k, low, high in zip(lines, [0, *(e + 1 for e in ends)], ends):
-                found[k] = cut[low:high]
-        rest = set(range(len(texts))).difference(lines if len(ends) == len(lines) else ())
-        for k in rest:
-            found[k] = self.pieces(texts[k])
-        new = {p for pieces in found for p in pieces}.difference(self.merged)
+        ends = [k for k, p in enumerate(cut) if p == "\n"]
+        ends.append(len(cut))
+        if len(ends) != len(lines):
+            lines, cut, ends = [], [], []
+        rest = set(range(len(texts))).difference(lines)
+        others = {k: self.pieces(texts[k]) for k in rest}
+        # Flat lists only: a list for each stretch would keep the garbage collector busy.
+        used = set(cut).union(*others.values())
+        new = used.difference(self.merged)
         if len(self.merged) + len(new) > CACHE_STRETCHES:
             self.merged.clear()
-            new = {p for pieces in found for p in pieces}
+            new = used
         fresh = list(new)
         self.merged.update(zip(fresh, self.merge([p.encode() for p in fresh])))
         ids = self.merged.__getitem__
-        return [ids(p[0]) if len(p) == 1 else b"".join(map(ids, p)) for p in found]
+        result, low = [b""] * len(texts), 0
+        for k, high in zip(lines, ends):
+            one = high - low == 1
+            result[k] = ids(cut[low]) if one else b"".join(map(ids, cut[low:high]))
+            low = high + 1
+        for k, pieces in others.items():
+            result[k] = b"".join(map(ids, pieces))
+        return result
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as little-endian unsigned 32-bit integers."""
+        """Ids of each text, as little-endian unsigned 32-bit integers. Nothing here is cyclic, so the
+        garbage collector would only walk the libraries again and again; it rests meanwhile."""
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encoded(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
         cut = [(_CUT.split(t) if _UNEVEN.search(t) else t.split(" ")) if t else [] for t in texts]
         for cuts in cut:
             if len(cuts) > 1 and not cuts[0]:  # the space that opens a text follows nothing

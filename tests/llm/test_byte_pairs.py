@@ -1,3 +1,4 @@
+import gc
 import hashlib
 import random
 
@@ -48,6 +49,19 @@ def test_random_texts(model, library):
     same(model, library, ["".join(rng.choices(letters, k=rng.randrange(120))) for _ in range(400)])
 
 
+def test_the_collector_rests_while_texts_are_encoded(model, library):
+    started = []
+    watch = lambda phase, info: started.append(phase)
+    gc.callbacks.append(watch)
+    try:
+        ids = model.encode([" ".join(f"w{k}x{k * k}" for k in range(20_000))])
+    finally:
+        gc.callbacks.remove(watch)
+    assert not started and gc.isenabled()
+    text = " ".join(f"w{k}x{k * k}" for k in range(20_000))
+    assert np.frombuffer(ids[0], "<u4").tolist() == library.encode_ordinary(text)
+
+
 def test_long_pieces(model, library):
     rng = random.Random(2)
     same(model, library, [
