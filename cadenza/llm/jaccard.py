@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.llm.common import (
-    Sums, Words, dropped, mix, numbers, stored, summed, table, text_slices, whole_texts,
+    Sums, Words, dropped, mix, numbers, stored, summed, table, text_slices, tidy, whole_texts,
 )
 from cadenza.llm.components import components
 
@@ -158,7 +158,7 @@ def profiles(texts: DataFrame) -> DataFrame:
                     ["doc_id", "n", "node", "signed", "short"],
                 )
 
-    return texts.mapInArrow(work, "doc_id long, n long, node long, signed binary, short binary")
+    return texts.mapInArrow(tidy(work), "doc_id long, n long, node long, signed binary, short binary")
 
 
 def sketch(texts: DataFrame) -> np.ndarray:
@@ -225,7 +225,7 @@ def prefixes(texts: DataFrame, level: np.ndarray) -> DataFrame:
                         ["node", "n", "matches", "prefix"],
                     )
 
-    return texts.select("text").mapInArrow(work, "node long, n long, matches int, prefix binary")
+    return texts.select("text").mapInArrow(tidy(work), "node long, n long, matches int, prefix binary")
 
 
 def _packed(n: np.ndarray, entry: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -263,7 +263,7 @@ def listed(found: DataFrame, level: np.ndarray) -> DataFrame:
                     ["token", "salt", "node", "meta"],
                 )
 
-    return found.mapInArrow(work, "token long, salt long, node long, meta long")
+    return found.mapInArrow(tidy(work), "token long, salt long, node long, meta long")
 
 
 class Lists:
@@ -340,7 +340,7 @@ def meet(rows: DataFrame) -> DataFrame:
     return (
         rows.repartition("token", "salt")
         .sortWithinPartitions("token", "salt", "node")
-        .mapInArrow(work, "k long, a long, b long, c long, d long")
+        .mapInArrow(tidy(work), "k long, a long, b long, c long, d long")
     )
 
 
@@ -454,7 +454,7 @@ def crossing(
         if (out := blocks.pairs()) is not None:
             yield out
 
-    return placed.mapInArrow(work, "a long, b long, asked long")
+    return placed.mapInArrow(tidy(work), "a long, b long, asked long")
 
 
 def allowed(pairs: DataFrame, profile: DataFrame) -> DataFrame:
@@ -477,7 +477,7 @@ def allowed(pairs: DataFrame, profile: DataFrame) -> DataFrame:
             keep = Signatures(both).allow(row, row + count, n)
             yield batch.select(kept.names).filter(pa.array(keep))
 
-    return pairs.mapInArrow(work, kept)
+    return pairs.mapInArrow(tidy(work), kept)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, profile: DataFrame) -> DataFrame:
@@ -501,7 +501,7 @@ def verified(pairs: DataFrame, texts: DataFrame, profile: DataFrame) -> DataFram
 
     named = [sets.select(F.col("node").alias(k), F.col("members").alias(v)) for k, v in ("ax", "by")]
     links = pairs.join(named[0], "a").join(named[1], "b").select("a", "b", "x", "y")
-    links = stored(links.mapInArrow(work, "a long, b long"), "links")
+    links = stored(links.mapInArrow(tidy(work), "a long, b long"), "links")
     dropped(pairs)
     return links
 
@@ -532,7 +532,7 @@ def members_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                     ["node", "members"],
                 )
 
-    return texts.mapInArrow(work, "node long, members binary").dropDuplicates(["node"])
+    return texts.mapInArrow(tidy(work), "node long, members binary").dropDuplicates(["node"])
 
 
 def _bit(ids: np.ndarray) -> np.ndarray:
@@ -654,7 +654,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A row without words gets a key of its own, so that it is no repetition of another.
     own = F.when(F.col("__node") == 0, F.monotonically_increasing_id())
     return (
-        docs.mapInArrow(mark, marked)
+        docs.mapInArrow(tidy(mark), marked)
         .withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NONE)))
         .withColumn("__own", own)
         .join(keepers, ["__id", "__node"], "left")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import Words, lowered, table, text_slices, whole_texts
+from cadenza.llm.common import Words, lowered, table, text_slices, tidy, whole_texts
 from cadenza.llm.labelled import held_out, training_texts
 
 MOST_LABELLED = 8_000
@@ -170,7 +170,7 @@ def mine(sample: DataFrame) -> np.ndarray:
 
     counted = (
         sample.select("label", "text")
-        .mapInArrow(work, "word long, label long")
+        .mapInArrow(tidy(work), "word long, label long")
         .groupBy("word")
         .agg(F.sum("label").alias("in1"), F.sum(1 - F.col("label")).alias("in0"))
     )
@@ -305,7 +305,7 @@ def votes_of(documents: DataFrame, voters: Voters) -> DataFrame:
                     ["doc_id", "bits"],
                 )
 
-    return whole_texts(documents).mapInArrow(work, "doc_id long, bits long")
+    return whole_texts(documents).mapInArrow(tidy(work), "doc_id long, bits long")
 
 
 def fit(documents: DataFrame, labels: DataFrame) -> tuple[Voters, LabelModel, Linear]:
@@ -339,7 +339,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[Voters, LabelModel, Li
                     ["words", "bits"],
                 )
 
-    rows = sample.select("text").mapInArrow(work, "words binary, bits long").collect()
+    rows = sample.select("text").mapInArrow(tidy(work), "words binary, bits long").collect()
     rows = sorted((bytes(r["words"]), r["bits"]) for r in rows)  # the same order in any run
     docs = np.repeat(np.arange(len(rows)), [len(r[0]) // 2 for r in rows])
     words = np.frombuffer(b"".join(r[0] for r in rows), np.uint16).astype(np.int64)
@@ -373,7 +373,7 @@ def _scores(texts: DataFrame, voters: Voters, linear: Linear) -> DataFrame:
                     ["doc_id", "score"],
                 )
 
-    return texts.mapInArrow(work, "doc_id long, score double")
+    return texts.mapInArrow(tidy(work), "doc_id long, score double")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -396,4 +396,4 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                 score = linear.score(*_features(words), voters.votes(data, words))
                 yield batch.slice(low, high - low).filter(pa.array(score < THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)

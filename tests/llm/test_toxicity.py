@@ -1,5 +1,6 @@
 import numpy as np
 
+from cadenza.llm import common
 from cadenza.llm import toxicity as tx
 from cadenza.llm.common import table
 
@@ -52,3 +53,16 @@ def test_votes_by_place():
     (bits,) = voters.votes(data, tx.Tokens.of(data, np.array([0, len(data)])))
     fired = {v for k, v in enumerate(tx.VOTERS) if bits >> k & 1}
     assert fired == {"intellect", "masked", "shouting", "twice", "dense"}
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    done = []
+
+    class Library:
+        def malloc_trim(self, pad):
+            done.append(pad)
+
+    monkeypatch.setattr(common.ctypes, "CDLL", lambda name: Library())
+    rows = common.tidy(lambda batches: (2 * b for b in batches))(iter([1, 2]))
+    assert next(rows) == 2 and not done
+    assert list(rows) == [4] and done == [0]
