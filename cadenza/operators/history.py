@@ -22,8 +22,10 @@ OPEN_END = "9999-12-01 00:00:00"
 _NTH, _EDGE, _BEFORE = "_nth", "_edge", "_before"
 
 
-def user_observations(*streams: DataFrame) -> DataFrame:
-    """Every distinct sighting of a known user in the given streams."""
+def user_observations(*streams: DataFrame, seconds: Width | None = None) -> DataFrame:
+    """Every distinct sighting of a known user in the given streams. With ``seconds`` the rows
+    are dealt by (user, chunk) before copies are removed and keep their chunk, so that the work on
+    chunks that follows needs no shuffle of its own."""
     seen = [
         s.filter(F.col("userId").isNotNull()).select(
             "ts",
@@ -36,7 +38,10 @@ def user_observations(*streams: DataFrame) -> DataFrame:
         )
         for s in streams
     ]
-    return reduce(DataFrame.unionByName, seen).distinct()
+    rows = reduce(DataFrame.unionByName, seen)
+    if seconds is not None:
+        rows = with_chunk(rows, "ts", seconds, "user_id").repartition("user_id", CHUNK)
+    return rows.distinct()
 
 
 def _order(ts: str, attributes: Sequence[str]) -> list[Column]:
@@ -132,8 +137,11 @@ def _versions(observations, entity, ts, attributes, seconds) -> DataFrame:
     )
     later_rows = newest_first.rowsBetween(Window.unboundedPreceding, -1)
     state = F.struct(*attributes)
-    timed = observations.select(entity, *attributes, F.col(ts).alias("start_time"))
-    seen = with_chunk(timed, "start_time", seconds, entity).select(
+    dealt = [CHUNK] if CHUNK in observations.columns else []
+    timed = observations.select(entity, *attributes, F.col(ts).alias("start_time"), *dealt)
+    if not dealt:
+        timed = with_chunk(timed, "start_time", seconds, entity)
+    seen = timed.select(
         "*",
         state.alias("_state"),
         F.lead(state).over(newest_first).alias(_BEFORE),
@@ -202,7 +210,7 @@ def int_dim_user(
     status_change: DataFrame,
     seconds: Width = CHUNK_SECONDS,
 ) -> DataFrame:
-    observations = user_observations(auth, listen, page_view, status_change)
+    observations = user_observations(auth, listen, page_view, status_change, seconds=seconds)
     return keyed_periods(effective_periods(observations, seconds=seconds))
 
 

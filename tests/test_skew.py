@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.operators import dashboard, fact
+from cadenza.operators import dashboard, fact, history
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -128,3 +128,36 @@ def test_plays_without_a_user_are_no_hot_key(spark):
     inside = F.col("ts").between(F.timestamp_seconds(F.lit(600)), F.timestamp_seconds(F.lit(1199)))
     wrong = found.where(F.col("user_key").isNotNull() != F.coalesce((F.col("userId") == 1) & inside, F.lit(False)))
     assert wrong.isEmpty()
+
+
+def _shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_work_on_chunks_shares_one_shuffle(many_partitions, tmp_path):
+    """Copies are removed, and instants grouped, behind the shuffle that the chunks need anyway."""
+    spark = many_partitions
+    seen = spark.range(40).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 10 * 1800).alias("ts"),
+        (F.col("id") % 3).cast("int").alias("userId"),
+        F.lit("l").alias("lastName"), F.lit("f").alias("firstName"), F.lit("g").alias("gender"),
+        (F.col("id") % 2).cast("string").alias("userAgent"),
+        F.lit(None).cast("timestamp").alias("registration"),
+        (F.col("id") % 2).cast("int").alias("sessionId"),
+        F.col("id").cast("int").alias("itemInSession"),
+    )
+    stream = stored(seen, f"{tmp_path}/seen")
+    users = history.int_dim_user(stream, stream, stream, stream)
+    assert not [s for s in _shuffles(users) if "lastName" in s or "user_last_name" in s]
+    plain = history.keyed_periods(
+        history.effective_periods(history.user_observations(stream, stream))
+    )
+    assert users.exceptAll(plain).isEmpty() and plain.exceptAll(users).isEmpty()
+
+    events = fact.event_ids(stream, stream)
+    instants = fact.session_instants(events, known_only=True)
+    assert not [s for s in _shuffles(instants) if "ts#" in s]
+    both = fact.session_instants(events)
+    assert instants.select(*both.columns).exceptAll(both).isEmpty()
+    assert instants.count() == both.count()
