@@ -42,7 +42,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadenza.llm.common import (
-    Sums, Words, dropped, mix, numbers, stored, summed, table, text_slices, tidy, whole_texts,
+    SMALL_SLICE_BYTES, Sums, Words, dropped, mix, numbers, stored, summed, table, text_slices, tidy,
+    whole_texts,
 )
 from cadenza.llm.components import components
 
@@ -132,7 +133,7 @@ def prefix_size(n: int) -> int:
 
 
 def _each_set(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[np.ndarray]]]:
-    for low, high, data, offsets in text_slices(batch.column("text")):
+    for low, high, data, offsets in text_slices(batch.column("text"), SMALL_SLICE_BYTES):
         yield low, high, shingles(Words.of(data, offsets, lower=True))
 
 
@@ -644,7 +645,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column(at)):
+            for low, high, data, offsets in text_slices(batch.column(at), SMALL_SLICE_BYTES):
                 nodes = [node_of(s) for s in shingles(Words.of(data, offsets, lower=True))]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(low, high - low).columns, pa.array(nodes, pa.int64())],

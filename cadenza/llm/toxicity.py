@@ -29,7 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import Words, lowered, table, text_slices, tidy, whole_texts
+from cadenza.llm.common import (
+    SMALL_SLICE_BYTES, Words, lowered, table, text_slices, tidy, whole_texts,
+)
 from cadenza.llm.labelled import held_out, training_texts
 
 MOST_LABELLED = 8_000
@@ -154,7 +156,7 @@ def mine(sample: DataFrame) -> np.ndarray:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SMALL_SLICE_BYTES):
                 tokens = Tokens.of(data, offsets)
                 label = np.asarray(batch.column("label").slice(low, high - low))
                 order = np.lexsort((tokens.hash, tokens.doc))
@@ -298,7 +300,7 @@ def votes_of(documents: DataFrame, voters: Voters) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SMALL_SLICE_BYTES):
                 bits = voters.votes(data, Tokens.of(data, offsets))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(low, high - low), pa.array(bits)],
@@ -328,7 +330,7 @@ def fit(documents: DataFrame, labels: DataFrame) -> tuple[Voters, LabelModel, Li
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SMALL_SLICE_BYTES):
                 tokens = Tokens.of(data, offsets)
                 doc, word = _features(tokens)
                 cuts = np.searchsorted(doc, np.arange(high - low + 1)).tolist()
@@ -365,7 +367,7 @@ def _scores(texts: DataFrame, voters: Voters, linear: Linear) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voters, linear = shared.value
         for batch in batches:
-            for low, high, data, offsets in text_slices(batch.column("text")):
+            for low, high, data, offsets in text_slices(batch.column("text"), SMALL_SLICE_BYTES):
                 words = Tokens.of(data, offsets)
                 score = linear.score(*_features(words), voters.votes(data, words))
                 yield pa.RecordBatch.from_arrays(
@@ -391,7 +393,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for batch in batches:
             voters, linear = shared.value
             texts = batch.column(at)
-            for low, high, data, offsets in text_slices(texts):
+            for low, high, data, offsets in text_slices(texts, SMALL_SLICE_BYTES):
                 words = Tokens.of(data, offsets)
                 score = linear.score(*_features(words), voters.votes(data, words))
                 yield batch.slice(low, high - low).filter(pa.array(score < THRESHOLD))

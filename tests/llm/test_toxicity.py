@@ -1,6 +1,9 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 
-from cadenza.llm import common
+from cadenza.llm import common, jaccard
 from cadenza.llm import toxicity as tx
 from cadenza.llm.common import table
 
@@ -66,3 +69,25 @@ def test_a_task_gives_its_memory_back(monkeypatch):
     rows = common.tidy(lambda batches: (2 * b for b in batches))(iter([1, 2]))
     assert next(rows) == 2 and not done
     assert list(rows) == [4] and done == [0]
+
+
+def test_a_task_holds_little_of_a_batch(monkeypatch):
+    """Both first stages of the pipeline work on small slices of the 4 MB that a batch may have."""
+    rng = np.random.default_rng(3)
+    words = np.array(["idiot", "plain", "somewhat", "longer", "sentences", "here"])
+    texts = [" ".join(rng.choice(words, 300)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts)], ["doc_id", "text"])
+
+    class Given:
+        def mapInArrow(self, work, schema):
+            tracemalloc.start()
+            found = sum(b.num_rows for b in work(iter([batch])))
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            return found, peak
+
+    monkeypatch.setattr(tx, "whole_texts", lambda documents: documents)
+    found, peak = tx.votes_of(Given(), tx.Voters(np.zeros(0, np.uint64)))
+    assert found == 2000 and peak < 60e6
+    found, peak = jaccard.profiles(Given())
+    assert found == 2000 and peak < 60e6
