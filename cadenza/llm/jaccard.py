@@ -21,8 +21,9 @@ is lossless.
    between components is lost; pairs inside a component need no check. Lists are compared in blocks,
    a very long one in several tasks, and only pairs that size, places and signatures allow leave a
    task: first one pair for each node, with the partner that has most partners itself, so that what
-   links widely is one component; then all pairs of the components that are left. A group of
-   thousands of near copies costs a few checks for each member, not all pairs.
+   links widely is one component; then all pairs of the components that are left, nearly always from
+   the first list they share only. A group of thousands of near copies costs a few checks for each
+   member, not all pairs.
 
 Result: one row per document row. Cases: a missing or empty text has an empty set, links with
 nothing and is its own component; fewer than five words are one shingle; repeated rows are kept
@@ -34,10 +35,11 @@ is fixed; larger inputs make them less selective, never lossy.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,10 +61,16 @@ SALTED = 128
 MOST_MATCHES = (1 << 16) - 1
 CHANCE, ROW = 0.05, 4.0
 FILTER_BITS = 23
-#: Bits of a signature: four for each shingle within these limits; at most ROW_BITS in a list.
-LEAST_BITS, MOST_BITS, ROW_BITS = 1 << 8, 1 << 13, 1 << 9
+#: Bits of a signature: four for each shingle within these limits; in a list one for each shingle, at
+#: most ROW_BITS.
+LEAST_BITS, MOST_BITS, ROW_BITS = 1 << 8, 1 << 16, 1 << 13
+#: Bytes of signatures compared at once.
+AT_ONCE = 4 << 20
 #: Rows of one block of a long list, about.
 BLOCK = 2048
+#: Tokens a row of a long list carries to tell where its pairs met before: four entries fill 64 bits.
+MET = 4
+_NEVER = (1 << 63) - 1
 _NONE = -(1 << 63)
 
 
@@ -94,6 +102,11 @@ def signature(members: np.ndarray) -> bytes:
     return np.packbits((hits & 1).astype(np.uint8)).tobytes()
 
 
+def short_width(n: int) -> int:
+    """Bytes of a set's signature in a list: with fewer bits than shingles it would rule out little."""
+    return min(max(LEAST_BITS, 1 << (n - 1).bit_length()), ROW_BITS) // 8
+
+
 def folded(signatures: np.ndarray, width: int) -> np.ndarray:
     """Signatures (one a row) as those of fewer bytes."""
     rows, size = signatures.shape
@@ -107,13 +120,16 @@ class Signatures:
         self.width = np.array([len(r) for r in raw], np.int64)
         self.row: dict[int, np.ndarray] = {}
         self.of: dict[int, np.ndarray] = {}
-        for width in np.unique(self.width).tolist():
-            at = np.flatnonzero(self.width >= width)
+        at, wider = np.zeros(0, np.int64), None
+        for width in np.unique(self.width)[::-1].tolist():
+            own = np.flatnonzero(self.width == width)
+            rows = np.frombuffer(b"".join([raw[k] for k in own.tolist()]), np.uint8)
+            rows = rows.reshape(len(own), width)
+            wider = rows if wider is None else np.vstack([folded(wider, width), rows])
+            at = np.append(at, own)
             self.row[width] = np.zeros(len(raw), np.int64)
             self.row[width][at] = np.arange(len(at))
-            self.of[width] = np.vstack([
-                folded(np.frombuffer(raw[k], np.uint8)[None], width) for k in at.tolist()
-            ])
+            self.of[width] = wider
 
     def allow(self, a: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Whether pairs of rows may link; n is the sum of their sizes."""
@@ -121,7 +137,7 @@ class Signatures:
         width = np.minimum(self.width[a], self.width[b])
         for w in np.unique(width).tolist():
             at, row, bits = np.flatnonzero(width == w), self.row[w], self.of[w].view(np.uint64)
-            for part in np.array_split(at, len(at) // 65536 + 1):
+            for part in np.array_split(at, len(at) * w // AT_ONCE + 1):
                 apart = np.bitwise_count(bits[row[a[part]]] ^ bits[row[b[part]]]).sum(1, dtype=np.int64)
                 # Sets link if 4 both >= 3 (n - both), and differ in n - 2 both shingles.
                 keep[part] = (WHOLE + PART) * apart <= (WHOLE - PART) * n[part]
@@ -144,10 +160,9 @@ def profiles(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for low, high, sets in _each_set(batch):
                 signed = [signature(s) for s in sets]
-                most = ROW_BITS // 8
                 short = [
-                    s if len(s) <= most else folded(np.frombuffer(s, np.uint8)[None], most).tobytes()
-                    for s in signed
+                    folded(np.frombuffer(bits, np.uint8)[None], short_width(len(s))).tobytes()
+                    for bits, s in zip(signed, sets)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -349,6 +364,10 @@ class Blocks:
     """Rows of long lists, cut into blocks against blocks; gives pairs of different components."""
 
     COLUMNS = ("token", "u", "v", "side", "node", "component", "meta")
+    #: For each class of tokens the smallest one in whose list the node is, and the matches from which
+    #: it counts (16 bits each): two nodes that share one of these that counts for them and is smaller
+    #: than the list's token have met there and are not given again.
+    MET = (*(f"met{k}" for k in range(MET)), "entries")
 
     def __init__(self, hubs: bool = False):
         #: One pair for each row only: with the partner that has most partners.
@@ -356,7 +375,8 @@ class Blocks:
         self.found: list[np.ndarray] = []
 
     def _compare(self, rows: np.ndarray, signed: list[bytes]) -> None:
-        _, u, v, side, node, component, meta = rows
+        token, u, v, side, node, component, meta = rows[: len(self.COLUMNS)]
+        met = rows[len(self.COLUMNS) :]
         n, entry, asked = meta >> 32, meta >> 16 & 0xFFFF, meta & 0xFFFF
         same = u[0] == v[0]
         left = np.arange(len(node)) if same else np.flatnonzero(side == 0)
@@ -372,8 +392,13 @@ class Blocks:
             i, j = np.nonzero(able)
             if not len(i):
                 continue
-            signatures = signatures or Signatures(signed)
             a, b = left[low + i], right[j]
+            for k, first in enumerate(met[:-1]):
+                since = np.maximum(met[-1][a] >> 16 * k & 0xFFFF, met[-1][b] >> 16 * k & 0xFFFF)
+                before = (first[a] == first[b]) & (first[a] < token[0])
+                fresh = ~before | (since > np.minimum(asked[a], asked[b]))
+                a, b = a[fresh], b[fresh]
+            signatures = signatures or Signatures(signed)
             keep = signatures.allow(a, b, n[a] + n[b])
             kept.append(np.stack([a[keep], b[keep]]).astype(np.int32))
         if not kept:
@@ -413,8 +438,11 @@ class Blocks:
 def crossing(
     long: DataFrame, labels: DataFrame, profile: DataFrame, hubs: bool = False
 ) -> DataFrame:
-    """a, b, asked: pairs of different components in the long lists, once for each list, that size,
-    places and signatures allow; with ``hubs``, at most one for each row."""
+    """a, b, asked: pairs of different components in the long lists that size, places and signatures
+    allow, few of them more than once; with ``hubs``, at most one for each row, and from each list.
+
+    Whether a pair met in an earlier list its rows tell: each carries a few tokens of its node, so in
+    the list of the smallest of them that both carry and that counts for both, the pair has come."""
     rows = stored(
         long.join(labels, "node", "left").select(
             "token", "node", "meta", F.coalesce("component", "node").alias("component")
@@ -428,6 +456,21 @@ def crossing(
     rows = stored(rows.join(split.where("p <> q").select("token", "blocks"), "token"), "split-lists")
     ends = rows.select("node").distinct()
     signed = profile.join(ends, "node").groupBy("node").agg(F.min("short").alias("short"))
+    columns = [*Blocks.COLUMNS, *(() if hubs else Blocks.MET)]
+    if not hubs:
+        entry = F.shiftright("meta", 16).bitwiseAND(0xFFFF)
+        least = [
+            F.min(F.when(F.pmod("token", F.lit(MET)) == k, F.struct("token", entry.alias("entry"))))
+            for k in range(MET)
+        ]
+        met = rows.groupBy("node").agg(*(v.alias(f"least{k}") for k, v in enumerate(least)))
+        since = [F.coalesce(F.col(f"least{k}.entry"), F.lit(0)) for k in range(MET)]
+        packed = reduce(Column.bitwiseOR, (F.shiftleft(v, 16 * k) for k, v in enumerate(since)))
+        met = met.select(
+            "node", packed.alias("entries"),
+            *(F.coalesce(f"least{k}.token", F.lit(_NEVER)).alias(Blocks.MET[k]) for k in range(MET)),
+        )
+        signed = signed.join(met, "node")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     placed = (
         rows.join(signed, "node")
@@ -436,16 +479,16 @@ def crossing(
         .withColumn("u", F.least("own", "other"))
         .withColumn("v", F.greatest("own", "other"))
         .withColumn("side", (F.col("own") != F.col("u")).cast("long"))
-        .select(*Blocks.COLUMNS, "short")
+        .select(*columns, "short")
         .repartition("token", "u", "v")
         .sortWithinPartitions("token", "u", "v")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks, rest, signed = Blocks(hubs), np.zeros((len(Blocks.COLUMNS), 0), np.int64), []
+        blocks, rest, signed = Blocks(hubs), np.zeros((len(columns), 0), np.int64), []
         for batch in batches:
             fresh = np.stack([
-                batch.column(c).to_numpy(zero_copy_only=False) for c in Blocks.COLUMNS
+                batch.column(c).to_numpy(zero_copy_only=False) for c in columns
             ])
             signed = signed + batch.column("short").to_pylist()
             rest, signed = blocks.take(np.hstack([rest, fresh]), signed, False)
@@ -553,9 +596,9 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
     """node, component of all nodes that link with another one."""
     level = sketch(texts)
     lists = stored(meet(listed(prefixes(texts, level), level)), "lists")
-    # What a pair shares in long lists is known in part only: step 5 counts it again.
+    # What a pair shares in long lists is known in part only: step 5 gives the rest.
     shared = lists.where("k = 0").groupBy("a", "b").agg(
-        F.count("*").alias("found"), F.min("c").alias("asked"), F.sum(1 - F.col("d")).alias("short")
+        F.count("*").alias("found"), F.min("c").alias("asked")
     )
     promising = stored(shared.where("found >= asked"), "promising")
     candidates = stored(allowed(promising, profile), "candidates")
@@ -585,17 +628,11 @@ def linked(texts: DataFrame, profile: DataFrame) -> DataFrame:
     best = ends.groupBy("of").agg(F.max("p").alias("p")).select("p.*").distinct()
     edges = edges.union(verified(best, texts, profile))
     labels = components(edges)
-    across = crossing(long, labels, profile).groupBy("a", "b").agg(
-        F.count("*").alias("found"), F.min("asked").alias("asked")
-    )
-    # Lists that gave pairs at once count as well, and checked pairs need no second check.
-    before = shared.where("found < asked and short > 0").select("a", "b", "short")
-    across = across.join(before, ["a", "b"], "left").join(
-        promising.select("a", "b"), ["a", "b"], "left_anti"
-    )
-    across = across.where("found + coalesce(short, 0) >= asked")
-    edges = edges.union(verified(across, texts, profile))
-    dropped(lists, promising, candidates, hubs)
+    # Checked pairs need no second check; whole signatures rule out more than those of the lists.
+    across = crossing(long, labels, profile).select("a", "b").distinct()
+    across = stored(across.join(promising.select("a", "b"), ["a", "b"], "left_anti"), "across")
+    edges = edges.union(verified(allowed(across, profile), texts, profile))
+    dropped(lists, promising, candidates, hubs, across)
     return components(edges)
 
 

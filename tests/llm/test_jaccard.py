@@ -1,6 +1,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -128,6 +129,38 @@ def test_near_copies_of_one_list_give_one_pair_each():
     assert len(a) <= len(sets) and set(a.tolist()) | set(b.tolist()) == set(range(len(sets)))
 
 
+def test_pair_of_many_long_lists_comes_few_times(spark):
+    rng = np.random.default_rng(7)
+    tokens = rng.integers(-(1 << 63), (1 << 63) - 1, 60)
+    base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    signed = jaccard.signature(base)
+    meta = int(jaccard._packed(np.array([300]), np.array([1]), np.array([50_000]))[0])
+    late = int(jaccard._packed(np.array([300]), np.array([40_000]), np.array([50_000]))[0])
+    rows = [
+        (int(t), node, late if rng.random() < 0.2 else meta)
+        for node in range(40) for t in tokens[rng.random(60) < 0.8]
+    ]
+    long = spark.createDataFrame(rows, "token long, node long, meta long")
+    labels = spark.createDataFrame([], "node long, component long")
+    profile = spark.createDataFrame([(k, bytearray(signed)) for k in range(40)], "node long, short binary")
+    found = [(r.a, r.b) for r in jaccard.crossing(long, labels, profile).collect()]
+    size = np.array(list(Counter(t for t, _, _ in rows).values()))
+    assert set(found) == set(itertools.combinations(range(40), 2))
+    assert len(found) < (size * (size - 1) // 2).sum() / 4
+
+
+def test_long_documents_of_one_passage_are_ruled_out_in_their_list(spark, documents):
+    rng = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(k, passage + " " + " ".join(f"w{rng.randrange(10**6)}" for _ in range(1_500 + k))) for k in range(30)]
+    found = jaccard.profiles(documents(*rows).select("doc_id", "text")).collect()
+    n, zero, one = np.array([r.n for r in found]), np.zeros(30, int), np.ones(30, int)
+    blocks = jaccard.Blocks()
+    lists = np.stack([zero, zero, zero, zero, np.arange(30), np.arange(30), jaccard._packed(n, one, one)])
+    blocks.take(lists, [bytes(r.short) for r in found], True)
+    assert sum(f.shape[1] for f in blocks.found) == 0
+
+
 def _levels():
     return np.random.default_rng(1).integers(0, 4, 1 << jaccard.SKETCH_BITS).astype(np.uint8)
 
