@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -74,3 +75,16 @@ def test_one_key_fills_many_shards_of_many_tasks(spark, documents, monkeypatch):
     encoder = tf.WordEncoder(tokenizer)
     want = sorted(encoder.encode(text.encode()) + b"\x02\x00" for key, text in rows if key == 7)
     assert sorted(bytes(r.ids) for r in tf.lookup(spark, path, [7]).collect()) == want
+
+
+def test_new_words_of_many_texts_are_learnt_at_once(monkeypatch):
+    texts = [f"Word{k} other{k}'s, b{k % 7} été <|x|> {k}" if k % 9 == 0 else f"Plain{k} words {k} b!" for k in range(500)]
+    plain = tf.WordEncoder(tf.default_tokenizer())
+    want = [plain.encode(t.encode()) for t in texts]
+    for most in (tf.CACHE_WORDS, 300):
+        monkeypatch.setattr(tf, "CACHE_WORDS", most)
+        encoder, calls = tf.WordEncoder(tf.default_tokenizer()), []
+        one = encoder.learn
+        monkeypatch.setattr(encoder, "learn", lambda words, one=one: (calls.append(1), one(words)))
+        assert list(encoder.encode_all(pa.array(texts))) == want
+        assert most == 300 or len(calls) == 1
