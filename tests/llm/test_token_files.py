@@ -88,3 +88,17 @@ def test_new_words_of_many_texts_are_learnt_at_once(monkeypatch):
         monkeypatch.setattr(encoder, "learn", lambda words, one=one: (calls.append(1), one(words)))
         assert list(encoder.encode_all(pa.array(texts))) == want
         assert most == 300 or len(calls) == 1
+
+
+def test_parts_are_looked_up_once_and_long_texts_come_in_pieces(monkeypatch):
+    monkeypatch.setattr(tf, "LEARN_BYTES", 200)
+    marks = [",", ".", "!?", ";)", "--x", "7", "É", "'s", "×2", "<|", "İ", "\x1c"]
+    texts = ["", " ", "".join(f"Über{a}{m} ÀLPHA{a}{b}\t" for a, m in enumerate(marks) for b in marks)]
+    texts += [f"<|ENDOFTEXT|> <|endoftext|>a{m} Don{m}t{m}́" for m in marks] + ["été" * 900, ""]
+    tokenizer, encoder = Tokenizer.from_file(tf.default_tokenizer()), tf.WordEncoder(tf.default_tokenizer())
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert list(encoder.encode_all(pa.array(texts))) == want
+    # A plain word with another mark behind it is no new word.
+    encoder = tf.WordEncoder(tf.default_tokenizer())
+    list(encoder.encode_all(pa.array([f"Word{m} other{m}" for m in ",.;:!?"])))
+    assert set(encoder.known) == {b"word", b"other", *(m.encode() for m in ",.;:!?")}
